@@ -98,3 +98,17 @@ def generate_reports(tables: ContributionTables, names: list[str] | None = None,
     for name in names or list(REPORTS):
         builder, _ = REPORTS[name]
         yield name, builder(tables, **options)
+
+
+def materialise(tables: ContributionTables) -> ContributionTables:
+    """Cut the source lineage once before running several reports.
+
+    The normalised contributions are checkpointed (written to the shared
+    ``spark.checkpoint.dir``, so a lost executor does not force a re-read of
+    the source); every report then scans the checkpoint. Dimensions stay lazy.
+    """
+    from donorlens.session import ensure_checkpoint_dir
+
+    spark = tables.contributions.sparkSession
+    ensure_checkpoint_dir(spark)
+    return tables.with_contributions(tables.contributions.checkpoint(eager=True))
