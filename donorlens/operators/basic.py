@@ -86,3 +86,40 @@ def duplicate_contributions(df: DataFrame) -> DataFrame:
     return (copies.where(F.col("_copies") > 1).groupBy("cycle")
             .agg(F.count(F.lit(1)).cast("long").alias("duplicated_rows"),
                  F.sum(F.col("_copies") - 1).cast("long").alias("extra_copies")))
+
+
+def preview(df: DataFrame, n: int = 5) -> DataFrame:
+    """The first ``n`` rows (a sample for display; the limit is the feature)."""
+    return df.limit(n)
+
+
+def cycle_filter(df: DataFrame, cycle: int) -> DataFrame:
+    return df.where(F.col("cycle") == F.lit(cycle))
+
+
+def party_filter(df: DataFrame, party: str) -> DataFrame:
+    """Rows of one party; a literal comparison, so any party text is safe."""
+    return df.where(F.col("party") == F.lit(party))
+
+
+def date_parse_profile(df: DataFrame) -> DataFrame:
+    """Lenient date parsing over the contributions, per cycle.
+
+    Each contribution date is rendered as text in one of three shapes,
+    chosen by ``abs(amount) % 3``: the source timestamp format, a bare date,
+    or an unparseable slash form. The text is parsed back with the loader's
+    lenient rule. (cycle, parsed, failed, mismatched): mismatched counts parsed
+    dates that differ from the original and must be 0.
+    """
+    from donorlens.functions.expressions import lenient_date
+
+    shape = F.abs(F.col("amount")) % 3
+    text = (F.when(shape == 0, F.date_format("date", "yyyy-MM-dd HH:mm:ss"))
+            .when(shape == 1, F.date_format("date", "yyyy-MM-dd"))
+            .otherwise(F.date_format("date", "yyyy/MM/dd")))
+    parsed = df.select("cycle", "date", lenient_date(text).alias("_parsed"))
+    return parsed.groupBy("cycle").agg(
+        F.count("_parsed").cast("long").alias("parsed"),
+        F.count(F.when(F.col("_parsed").isNull(), 1)).cast("long").alias("failed"),
+        F.count(F.when(F.col("_parsed") != F.col("date"), 1)).cast("long").alias("mismatched"),
+    )

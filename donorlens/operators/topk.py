@@ -7,6 +7,8 @@ cycle's partition never holds all of its recipients.
 
 The ranked list is at most ``k x cycles`` rows, a bound fixed by the caller,
 so it is broadcast to tag the contributions without shuffling them.
+Contributions to other recipients stay in the plan as context rows: they
+count towards a contributor's cycle total and first cycle.
 """
 
 from __future__ import annotations
@@ -46,26 +48,22 @@ def _tag_top(facts: DataFrame, id_expr: Column, top: DataFrame, id_col: str) ->
     return tagged.join(tags, cond, "left").withColumn(id_col, F.col("_tid")).drop("_id", "_tid", "_tc")
 
 
-def _top_report(facts: DataFrame, id_expr: Column, id_col: str, k: int,
-                segments: list[Segment], measures: list[Measure]) -> tuple[DataFrame, DataFrame]:
-    top = top_recipients(facts, id_expr, id_col, k)
-    tagged = _tag_top(facts, id_expr, top, id_col)
-    stats = segment_report(tagged, ["cycle", id_col], segments=segments, measures=measures,
-                           attributed=F.col(id_col).isNotNull())
-    ranked = stats.join(F.broadcast(top.select("cycle", id_col, "rank")), ["cycle", id_col])
-    return ranked, top
-
+def _top_report(facts: DataFrame, id_expr: Column, id_col: str, k: int, dimension: DataFrame,
+                dim_on: list[str], segments: list[Segment], measures: list[Measure]) -> DataFrame:
+    """Statistics of the top-k per cycle, with their rank and dimension attributes.
 
-def _attach(dimension: DataFrame, ranked: DataFrame, on: list[str]) -> DataFrame:
-    """Left-join dimension attributes onto the ranked report.
-
-    The ranked report is small (k x cycles rows). The dimension is first cut to
-    the ranked keys with a semi join that broadcasts those keys and streams
-    the dimension, so the dimension is never shuffled; the final join is
-    between two small sides.
+    The ranked list (k x cycles rows) takes its dimension attributes first;
+    Spark's size check broadcasts the dimension when small and sort-merge
+    joins it otherwise. The list is then used twice, to tag contributions and
+    to label the statistics, both times joined on (cycle, id): the two uses
+    plan identically, so Spark computes the ranking once and reuses it.
     """
-    wanted = dimension.join(F.broadcast(ranked.select(*on).distinct()), on, "left_semi")
-    return ranked.join(wanted, on, "left")
+    top = top_recipients(facts, id_expr, id_col, k).select("cycle", id_col, "rank")
+    ranked = top.join(dimension, dim_on, "left")
+    tagged = _tag_top(facts, id_expr, ranked, id_col)
+    stats = segment_report(tagged, ["cycle", id_col], segments=segments, measures=measures,
+                           attributed=F.col(id_col).isNotNull())
+    return stats.join(F.broadcast(ranked), ["cycle", id_col])
 
 
 def top_candidates_report(tables: ContributionTables, *, k: int = 20,
@@ -75,11 +73,10 @@ def top_candidates_report(tables: ContributionTables, *, k: int = 20,
 
     ``party`` is the candidate's party in that cycle, NULL if not listed.
     """
-    facts = tables.contributions
     id_expr = F.when(is_candidate("recipient_id"), F.col("recipient_id"))
-    ranked, _ = _top_report(facts, id_expr, "cid", k, segments, measures)
-    out = _attach(candidate_parties(tables), ranked, ["cid", "cycle"])
-    names = [c for c in ranked.columns if c not in ("cycle", "cid", "rank")]
+    out = _top_report(tables.contributions, id_expr, "cid", k, candidate_parties(tables), ["cid", "cycle"],
+                      segments, measures)
+    names = [c for c in out.columns if c not in ("cycle", "cid", "rank", "party")]
     return out.select("cycle", "rank", "cid", "party", *names)
 
 
@@ -105,10 +102,9 @@ def top_committees_report(tables: ContributionTables, *, k: int = 20, attributio
                           segments: list[Segment] = DEFAULT_SEGMENTS,
                           measures: list[Measure] = DEFAULT_MEASURES) -> DataFrame:
     """(cycle, rank, committee_id, pac_short, party, statistics)."""
-    facts = tables.contributions
-    ranked, _ = _top_report(facts, committee_expr(attribution), "committee_id", k, segments, measures)
-    out = _attach(committee_dimension(tables), ranked, ["committee_id"])
-    names = [c for c in ranked.columns if c not in ("cycle", "committee_id", "rank")]
+    out = _top_report(tables.contributions, committee_expr(attribution), "committee_id", k,
+                      committee_dimension(tables), ["committee_id"], segments, measures)
+    names = [c for c in out.columns if c not in ("cycle", "committee_id", "rank", "pac_short", "party")]
     return out.select("cycle", "rank", "committee_id", "pac_short", "party", *names)
 
 

@@ -289,4 +289,12 @@ SELECT 'candidates' AS table_name, CAST(count(*) AS BIGINT) AS rows FROM candida
 UNION ALL SELECT 'committees', CAST(count(*) AS BIGINT) FROM committees
 UNION ALL SELECT 'industry_codes', CAST(count(*) AS BIGINT) FROM industry_codes
 UNION ALL SELECT 'individual_contributions', CAST(count(*) AS BIGINT) FROM contributions""",
+    "lenient_dates": with_() + """SELECT cycle,
+  CAST(count(*) FILTER (WHERE abs(amount) % 3 <> 2) AS BIGINT) AS parsed,
+  CAST(count(*) FILTER (WHERE abs(amount) % 3 = 2) AS BIGINT) AS failed,
+  CAST(0 AS BIGINT) AS mismatched
+FROM contributions GROUP BY cycle""",
 }
+
+# the CSV round trip must reproduce the by-cycle report exactly
+ORACLE_SQL["csv_roundtrip"] = ORACLE_SQL["report_by_cycle"]

@@ -7,12 +7,15 @@ report over the whole tables.
 
 from __future__ import annotations
 
+import uuid
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from donorlens.operators import basic, parties
 from donorlens.plans import checks, reports
+from donorlens.session import scratch_path
+from donorlens.sources.files import read_csv_dir, write_csv_dir
 from donorlens.sources.star import load_star_tables
 from donorlens.sources.tables import ContributionTables, normalise_tables
 
@@ -33,6 +36,16 @@ def _q(fn: Callable[[ContributionTables], DataFrame]) -> Callable[[SparkSession,
     return run
 
 
+def _csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the tables in the CSV extract layout, read them back, run the by-cycle report.
+
+    The files go to a fresh folder under the shared checkpoint directory.
+    """
+    folder = scratch_path(spark, f"csv-roundtrip-{uuid.uuid4().hex}")
+    write_csv_dir(tables_for(spark, sf_dir), folder)
+    return reports.by_cycle(read_csv_dir(spark, folder))
+
+
 def _key_violations(t: ContributionTables) -> DataFrame:
     plans = {name: (builder(t), keys) for name, (builder, keys) in reports.REPORTS.items()}
     return checks.key_violation_summary(plans)
@@ -69,4 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "key_violations": _q(_key_violations),
     "dimension_conflicts": _q(checks.dimension_conflicts),
     "load_profile": _q(checks.load_profile),
+    "lenient_dates": _q(lambda t: basic.date_parse_profile(t.contributions)),
+    # sources
+    "csv_roundtrip": _csv_roundtrip,
 }

@@ -23,6 +23,9 @@ DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # PySpark otherwise records the Python call site of every DataFrame/Column
+    # call (several JVM round trips each) just to enrich error messages.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -80,3 +80,17 @@ def rejects(raw: DataFrame, schema: T.StructType) -> DataFrame:
     if not aggs:
         aggs = [F.lit(0).cast("long").alias("rejects")]
     return raw.agg(*aggs)
+
+
+def catalog_columns(tables: ContributionTables, prefix: str = "") -> DataFrame:
+    """(table_name, column_name, data_type) of the tables, via the session catalog.
+
+    The tables are registered as temporary views named ``prefix + table``.
+    """
+    spark = tables.contributions.sparkSession
+    rows = []
+    for name, df in tables.items():
+        view = f"{prefix}{name}"
+        df.createOrReplaceTempView(view)
+        rows += [(name, c.name, c.dataType) for c in spark.catalog.listColumns(view)]
+    return spark.createDataFrame(rows, "table_name string, column_name string, data_type string")
