@@ -101,3 +101,17 @@ def test_materialise_checkpoints_contributions(spark, sf_small):
         t.contributions.count() > 0
     assert _rows(reports.by_cycle(t)) == _rows(reports.by_cycle(tables_for(spark, sf_small)))
     assert t.contributions.where(F.col("amount").isNull()).count() == 0
+
+
+def test_catalog_columns_and_sample(spark, sf_small):
+    from donorlens.operators.basic import preview
+    from donorlens.sources.tables import catalog_columns
+
+    t = tables_for(spark, sf_small)
+    cols = {(r["table_name"], r["column_name"]): r["data_type"] for r in catalog_columns(t, "t_").collect()}
+    assert cols[("individual_contributions", "amount")] == "int"
+    assert cols[("candidates", "cycle")] == "int"
+    assert len(cols) == 3 + 3 + 4 + 12
+    assert t.sample(7).contributions.count() == 7
+    assert t.sample(None).contributions.count() == t.contributions.count()
+    assert preview(t.contributions, 3).count() == 3
