@@ -11,29 +11,15 @@ single tasks or run many jobs, which the library avoids.
 
 import pandas as pd
 from hypothesis import given, settings, strategies as st
-from pyspark.sql import Window, functions as F
 
 from donorlens.operators.parties import attribute_spec
 from donorlens.plans import reports
 from donorlens.plans.queries import tables_for
 from donorlens.schemas import REPORT_COLUMNS
 from tests.helpers import contribution, make_tables
+from tools.alt_forms import SEGMENT_SQL, flat_report, loop_report_by_cycle
 
-SEGMENTS = [("", None), ("Female", "gender = 'F'"), ("Male", "gender = 'M'"),
-            ("FirstTime", "cycle = first_cycle"), ("Small", "cycle_total < 100"), ("Large", "cycle_total > 2000")]
-
-
-def flat_report(facts, keys):
-    f = (facts.withColumn("first_cycle", F.min("cycle").over(Window.partitionBy("contributor_id")))
-         .withColumn("cycle_total", F.sum("amount").over(Window.partitionBy("contributor_id", "cycle"))))
-    aggs = []
-    for label, pred in SEGMENTS:
-        p = F.lit(True) if pred is None else F.expr(pred)
-        aggs += [F.coalesce(F.sum(F.when(p, F.col("amount"))), F.lit(0)).cast("long").alias(f"Total{label}AmountDonated"),
-                 F.count_distinct(F.when(p, F.col("contributor_id"))).cast("long").alias(f"Total{label}ContributorSize"),
-                 F.coalesce(F.bround(F.avg(F.when(p, F.col("amount"))), 0), F.lit(0)).cast("long")
-                 .alias(f"Average{label}AmountDonated")]
-    return f.groupBy(*keys).agg(*aggs)
+SEGMENTS = SEGMENT_SQL
 
 
 def _same(a, b, keys):
@@ -48,42 +34,15 @@ def test_rollup_equals_flat_by_cycle(spark, sf_small):
 
 def test_rollup_equals_flat_by_party(spark, sf_small):
     t = tables_for(spark, sf_small)
-    facts = attribute_spec(t)
     # flat: windows over all rows first, then drop unattributed rows
-    f = (facts.withColumn("first_cycle", F.min("cycle").over(Window.partitionBy("contributor_id")))
-         .withColumn("cycle_total", F.sum("amount").over(Window.partitionBy("contributor_id", "cycle")))
-         .where(F.col("party").isNotNull()))
-    aggs = []
-    for label, pred in SEGMENTS:
-        p = F.lit(True) if pred is None else F.expr(pred)
-        aggs += [F.coalesce(F.sum(F.when(p, F.col("amount"))), F.lit(0)).cast("long").alias(f"Total{label}AmountDonated"),
-                 F.count_distinct(F.when(p, F.col("contributor_id"))).cast("long").alias(f"Total{label}ContributorSize"),
-                 F.coalesce(F.bround(F.avg(F.when(p, F.col("amount"))), 0), F.lit(0)).cast("long")
-                 .alias(f"Average{label}AmountDonated")]
-    flat = f.groupBy("cycle", "party").agg(*aggs)
+    flat = flat_report(attribute_spec(t), ["cycle", "party"], keep="party IS NOT NULL")
     assert _same(reports.by_cycle_by_party(t), flat, ["cycle", "party"])
 
 
 def test_rollup_equals_per_group_loop_as_coded(spark, sf_small):
     """The original job's loop: filter per cycle, then one aggregation per statistic."""
     t = tables_for(spark, sf_small)
-    facts = t.contributions
-    expected = []
-    for (cycle,) in facts.select("cycle").distinct().collect():
-        part = facts.where(F.col("cycle") == cycle)
-        totals = part.groupBy("contributor_id", "cycle").agg(F.sum("amount").alias("tot"))
-        segs = {"": part, "Female": part.where("gender = 'F'"), "Male": part.where("gender = 'M'"),
-                "FirstTime": part,
-                "Small": part.join(totals.where("tot < 100"), ["contributor_id", "cycle"], "left_semi"),
-                "Large": part.join(totals.where("tot > 2000"), ["contributor_id", "cycle"], "left_semi")}
-        row = [cycle]
-        for label, _ in SEGMENTS:
-            s = segs[label]
-            total = s.agg(F.sum("amount")).first()[0] or 0
-            size = s.select("contributor_id").distinct().count()
-            avg = s.agg(F.avg("amount")).first()[0]
-            row += [total, size, round(avg) if avg is not None else 0]
-        expected.append(tuple(row))
+    expected = loop_report_by_cycle(t.contributions)
     got = reports.by_cycle(t, mode="as_coded").select("cycle", *REPORT_COLUMNS).collect()
     assert sorted(map(tuple, got)) == sorted(expected)
 
