@@ -32,11 +32,16 @@ def committee_dimension(tables: ContributionTables) -> DataFrame:
                     F.col("_best.party").alias("party")))
 
 
+def committee_parties(tables: ContributionTables) -> DataFrame:
+    """One party per committee id: the smallest, i.e. the party ``committee_dimension`` keeps."""
+    return tables.committees.groupBy("committee_id").agg(F.min("party").alias("party"))
+
+
 def spec_bridge(tables: ContributionTables) -> DataFrame:
     """(recipient_id, cycle or NULL, party): N-candidates per cycle, C-committees for any cycle."""
     cand = (candidate_parties(tables).where(is_candidate("cid"))
             .select(F.col("cid").alias("b_recipient"), F.col("cycle").alias("b_cycle"), "party"))
-    comm = (committee_dimension(tables).where(is_committee("committee_id"))
+    comm = (committee_parties(tables).where(is_committee("committee_id"))
             .select(F.col("committee_id").alias("b_recipient"),
                     F.lit(None).cast("int").alias("b_cycle"), "party"))
     return cand.unionByName(comm)

@@ -60,17 +60,25 @@ def write_csv_dir(tables: ContributionTables, directory: str, suffix: str = ".cs
          .option("emptyValue", '""').csv(table_path(directory, name, suffix)))
 
 
+def _is_complete(spark: SparkSession, path: str) -> bool:
+    """True when a finished Spark write left its ``_SUCCESS`` marker at ``path``."""
+    jvm = spark.sparkContext._jvm
+    marker = jvm.org.apache.hadoop.fs.Path(posixpath.join(path, "_SUCCESS"))
+    return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
+
+
 def snapshot(tables: ContributionTables, directory: str) -> ContributionTables:
-    """Extract once: write each table as Parquet unless it is already there, then read it back.
+    """Extract once: write each table as Parquet unless a complete copy is there, then read it back.
 
-    Later runs read the snapshot instead of the source (mode ``ignore`` leaves
-    an existing snapshot untouched).
+    A copy counts only if its write finished (``_SUCCESS`` marker); a folder
+    left by a failed or interrupted write is overwritten, never read.
     """
     spark = tables.contributions.sparkSession
     out = {}
     for name, df in tables.items():
         path = table_path(directory, name, ".parquet")
-        df.write.mode("ignore").parquet(path)
+        if not _is_complete(spark, path):
+            df.write.mode("overwrite").parquet(path)
         out[name] = spark.read.schema(TABLE_SCHEMAS[name]).parquet(path)
     return ContributionTables(**out)
 

@@ -65,6 +65,10 @@ def test_snapshot_writes_once(spark, sf_small):
     # a second snapshot over different input leaves the stored one in place
     again = snapshot(t.with_contributions(t.contributions.limit(5)), d)
     assert again.contributions.count() == n
+    # an unfinished copy (no _SUCCESS marker) is rewritten
+    os.remove(os.path.join(d, "individual_contributions.parquet", "_SUCCESS"))
+    redo = snapshot(t.with_contributions(t.contributions.limit(5)), d)
+    assert redo.contributions.count() == 5
 
 
 def test_write_files_and_runner(spark, sf_small):
