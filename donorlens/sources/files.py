@@ -38,10 +38,15 @@ def table_path(directory: str, name: str, suffix: str = ".csv") -> str:
     return posixpath.join(directory.rstrip("/"), f"{name}{suffix}")
 
 
-def read_csv_dir(spark: SparkSession, directory: str, suffix: str = ".csv") -> ContributionTables:
-    """The four tables from ``directory/<table><suffix>``, typed and normalised."""
+def read_csv_dir(spark: SparkSession, directory: str, suffix: str = ".csv", *,
+                 strict: bool = False) -> ContributionTables:
+    """The four tables from ``directory/<table><suffix>``, typed and normalised.
+
+    ``strict=True`` fails on a malformed integer or date instead of NULLing it.
+    """
     return ContributionTables(**{
-        name: normalise(read_csv_table(spark, table_path(directory, name, suffix), schema), schema)
+        name: normalise(read_csv_table(spark, table_path(directory, name, suffix), schema), schema,
+                        strict=strict)
         for name, schema in TABLE_SCHEMAS.items()
     })
 

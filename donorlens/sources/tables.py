@@ -40,31 +40,35 @@ class ContributionTables:
         return self.with_contributions(self.individual_contributions.limit(n))
 
 
-def normalise(df: DataFrame, schema: T.StructType) -> DataFrame:
+def normalise(df: DataFrame, schema: T.StructType, *, strict: bool = False) -> DataFrame:
     """Bring a raw table to its fixed schema.
 
     Strings: NULL becomes '' (the extract writes NULL as an empty field).
     Integers and dates are parsed leniently from strings: unparseable values
-    become NULL instead of failing the job; ``rejects`` counts them.
+    become NULL instead of failing the job; ``rejects`` counts them. With
+    ``strict=True`` a non-empty value that does not parse fails the job.
     """
     cols = []
     for field in schema.fields:
         c = F.col(field.name)
         source_type = df.schema[field.name].dataType
+        text_source = isinstance(source_type, T.StringType)
         if isinstance(field.dataType, T.StringType):
             expr = F.coalesce(c.cast("string"), F.lit(""))
-        elif isinstance(field.dataType, T.IntegerType):
-            expr = lenient_int(c) if isinstance(source_type, T.StringType) else c.cast("int")
-        elif isinstance(field.dataType, T.DateType):
-            expr = lenient_date(c) if isinstance(source_type, T.StringType) else c.cast("date")
+        elif isinstance(field.dataType, (T.IntegerType, T.DateType)) and text_source:
+            expr = lenient_int(c) if isinstance(field.dataType, T.IntegerType) else lenient_date(c)
+            if strict:
+                bad = c.isNotNull() & (F.trim(c) != "") & expr.isNull()
+                message = F.concat(F.lit(f"unparseable {field.name}: "), c)
+                expr = F.when(bad, F.raise_error(message).cast(field.dataType)).otherwise(expr)
         else:
             expr = c.cast(field.dataType)
         cols.append(expr.alias(field.name))
     return df.select(*cols)
 
 
-def normalise_tables(tables: ContributionTables) -> ContributionTables:
-    return tables.map(lambda name, df: normalise(df, TABLE_SCHEMAS[name]))
+def normalise_tables(tables: ContributionTables, *, strict: bool = False) -> ContributionTables:
+    return tables.map(lambda name, df: normalise(df, TABLE_SCHEMAS[name], strict=strict))
 
 
 def rejects(raw: DataFrame, schema: T.StructType) -> DataFrame:

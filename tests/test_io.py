@@ -54,6 +54,10 @@ def test_csv_extract_format_is_parsed_leniently(spark):
     # a NULL amount still counts its contributor, not the sum or the mean
     r = reports.by_cycle(t).first()
     assert (r["TotalAmountDonated"], r["TotalContributorSize"], r["AverageAmountDonated"]) == (10, 3, 10)
+    # strict mode fails on the malformed amount instead
+    with pytest.raises(Exception, match="unparseable"):
+        read_csv_dir(spark, d, strict=True).contributions.collect()
+    assert read_csv_dir(spark, d, strict=True).candidates.count() == 2
 
 
 def test_snapshot_writes_once(spark, sf_small):
@@ -119,3 +123,17 @@ def test_catalog_columns_and_sample(spark, sf_small):
     assert t.sample(7).contributions.count() == 7
     assert t.sample(None).contributions.count() == t.contributions.count()
     assert preview(t.contributions, 3).count() == 3
+
+
+def test_command_line_runner(spark, sf_small):
+    from donorlens.__main__ import main
+
+    t = tables_for(spark, sf_small)
+    src = tempfile.mkdtemp(prefix="donorlens-cli-src-")
+    out = tempfile.mkdtemp(prefix="donorlens-cli-out-")
+    write_csv_dir(t, src)
+    written = main(["--csv-dir", src, "--out", out, "--format", "parquet",
+                    "--reports", "by_cycle", "by_cycle_by_party", "--mode", "as_coded"], spark=spark)
+    assert written == ["by_cycle", "by_cycle_by_party"]
+    got = spark.read.parquet(os.path.join(out, "by_cycle_by_party"))
+    assert _rows(got) == _rows(reports.by_cycle_by_party(t, mode="as_coded"))
