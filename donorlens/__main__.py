@@ -64,17 +64,13 @@ def main(argv=None, spark=None):
     if len(names) > 1:
         tables = reports.materialise(tables)
 
-    def options(name):
-        return {"mode": args.mode} if name in ("by_cycle", "by_cycle_by_party") else {}
-
     def sink(report, name, keys):
         if args.out:
             write_files(report, os.path.join(args.out, name), fmt=args.format, keys=keys)
         if args.jdbc_url:
             write_jdbc(report, args.jdbc_url, name, props, keys=keys)
 
-    plans = ((name, reports.REPORTS[name][0](tables, **options(name))) for name in names)
-    return run_reports(plans, sink, keys=reports.REPORT_KEYS)
+    return run_reports(reports.generate_reports(tables, names, mode=args.mode), sink, keys=reports.REPORT_KEYS)
 
 
 if __name__ == "__main__":

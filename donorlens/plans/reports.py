@@ -94,10 +94,17 @@ REPORT_KEYS = {name: keys for name, (_, keys) in REPORTS.items()}
 
 
 def generate_reports(tables: ContributionTables, names: list[str] | None = None, **options):
-    """Yield ``(name, DataFrame)`` lazily, one report at a time."""
+    """Yield ``(name, DataFrame)`` lazily, one report at a time.
+
+    Each option goes to the reports that take it (``mode`` only to the two
+    reports that have an as-coded variant, ``k`` to the top-k reports, ...).
+    """
+    import inspect
+
     for name in names or list(REPORTS):
         builder, _ = REPORTS[name]
-        yield name, builder(tables, **options)
+        accepted = inspect.signature(builder).parameters
+        yield name, builder(tables, **{k: v for k, v in options.items() if k in accepted})
 
 
 def materialise(tables: ContributionTables) -> ContributionTables:

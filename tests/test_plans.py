@@ -42,6 +42,7 @@ def test_party_report_single_fact_join_to_bridge(spark, sf_small):
     text = plan_text(reports.by_cycle_by_party(t), "formatted")
     assert "Expand" not in text and "PythonUDF" not in text
     assert text.count("Join type: LeftOuter") == 1
+    assert "BroadcastHashJoin" in text  # the small bridge is broadcast, facts are not shuffled for it
 
 
 def test_hot_contributor_and_recipient_are_combined_before_the_shuffle(spark):
