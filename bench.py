@@ -111,7 +111,7 @@ def main():
     detail = {name: measure(spark, QUERIES[name], sf_dir, name, repeat) for name in names}
     compare = {}
     if os.environ.get("BENCH_COMPARE", "1") != "0":
-        compare = {name: measure(spark, fn, sf_dir, name, min(repeat, 3)) for name, fn in COMPARE.items()}
+        compare = {name: measure(spark, fn, sf_dir, name, min(repeat, 2)) for name, fn in COMPARE.items()}
     if os.environ.get("BENCH_LOOP") == "1":
         t0 = time.perf_counter()
         loop_report_by_cycle(tables_for(spark, sf_dir).contributions)

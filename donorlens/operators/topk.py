@@ -19,7 +19,6 @@ from donorlens.functions.expressions import is_candidate, is_committee
 from donorlens.operators.parties import candidate_parties, committee_dimension
 from donorlens.operators.rollup import segment_report
 from donorlens.operators.segments import DEFAULT_MEASURES, DEFAULT_SEGMENTS, Measure, Segment
-from donorlens.schemas import REPORT_COLUMNS
 from donorlens.sources.tables import ContributionTables
 
 ATTRIBUTIONS = ("committee", "pass_through", "recipient")
@@ -109,4 +108,4 @@ def top_committees_report(tables: ContributionTables, *, k: int = 20, attributio
 
 
 __all__ = ["rank_per_cycle", "top_recipients", "top_candidates_report", "top_committees_report",
-           "committee_expr", "REPORT_COLUMNS"]
+           "committee_expr"]

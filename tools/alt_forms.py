@@ -14,8 +14,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from donorlens.schemas import REPORT_COLUMNS
-
 SEGMENT_SQL = [("", None), ("Female", "gender = 'F'"), ("Male", "gender = 'M'"),
                ("FirstTime", "cycle = first_cycle"), ("Small", "cycle_total < 100"),
                ("Large", "cycle_total > 2000")]
@@ -68,4 +66,4 @@ def loop_report_by_cycle(facts: DataFrame) -> list[tuple]:
     return out
 
 
-__all__ = ["flat_report", "flat_stats", "loop_report_by_cycle", "with_contributor_windows", "REPORT_COLUMNS"]
+__all__ = ["flat_report", "flat_stats", "loop_report_by_cycle", "with_contributor_windows"]
