@@ -6,7 +6,8 @@ DataFrame joins and column expressions, so every report's work grows with
 the star tables. The expressions are a fixed mapping (see FIXTURES.md).
 
 Scale notes: lineitem and orders are the two big inputs and are joined on the
-order key (one shuffle each side); customer and part are joined by key and
+order key (a sort-merge join, one shuffle each side, once orders exceeds the
+broadcast threshold); customer and part are joined by key and
 left to Spark's size-checked join selection (broadcast under the threshold,
 sort-merge beyond it). nation and region are fixed-size code tables
 (25 and 5 rows by the TPC-H definition) and are broadcast explicitly.
@@ -72,8 +73,10 @@ def contributions_from_star(star: dict[str, DataFrame]) -> DataFrame:
     region = F.broadcast(star["region"].select("r_regionkey", "r_name"))
     part = star["part"].select("p_partkey", "p_brand")
 
-    # customer and part are joined on their own so their scan statistics drive
-    # the broadcast-or-shuffle choice; the code tables join last, map-side.
+    # Join strategies come from scan statistics: at scale lineitem and orders
+    # (both fact tables) are sort-merge joined on the order key; customer and
+    # part are joined on their own so their sizes decide broadcast or shuffle;
+    # the code tables join last, map-side.
     base = (li.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
             .join(customer, F.col("o_custkey") == F.col("c_custkey"))
             .join(part, F.col("l_partkey") == F.col("p_partkey"))
