@@ -72,3 +72,21 @@ def by_sector_pivot(tables: ContributionTables, party_labels: dict[str, str], *,
     value_cols = [f"{lab}_{m}" for lab in labels for m in ("TotalAmountDonated", "TotalContributorSize")]
     return wide.select("cycle", "sector",
                        *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in value_cols])
+
+
+def party_labels(tables: ContributionTables, empty_label: str = "NONE") -> dict[str, str]:
+    """Pivot labels for every party code in the candidate and committee tables.
+
+    Party codes are a short code list, so collecting their distinct values is
+    bounded; '' (no party) gets ``empty_label``. Characters that are not
+    letters, digits or '_' become '_' so labels are plain column names.
+    """
+    import re
+
+    codes = (tables.candidates.select("party").unionByName(tables.committees.select("party"))
+             .distinct().orderBy("party").collect())
+    out = {}
+    for (code,) in codes:
+        code = code or ""
+        out[code] = re.sub(r"[^0-9A-Za-z_]", "_", code) if code else empty_label
+    return out

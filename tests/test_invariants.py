@@ -48,3 +48,10 @@ def test_sector_rows_partition_the_matched_contributions(spark, sf_small):
     whole = reports.by_sector(t, keep_unmatched=True).groupBy("cycle").agg(F.sum("TotalAmountDonated").alias("amt"))
     cycle = reports.by_cycle(t).select("cycle", F.col("TotalAmountDonated").alias("amt"))
     assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, cycle.collect()))
+
+
+def test_party_labels_cover_the_fixture_pivot(spark, sf_small):
+    from donorlens.operators.industry import party_labels
+    from donorlens.plans.queries import FIXTURE_PARTY_LABELS
+
+    assert party_labels(tables_for(spark, sf_small)) == FIXTURE_PARTY_LABELS

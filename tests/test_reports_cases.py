@@ -158,6 +158,8 @@ def test_sector_reports_and_dimension_conflicts(spark):
     wide = rows_by(reports.by_sector_pivot(t, {"D": "Dem", "R": "Rep"}), "cycle", "sector")
     assert wide[(2000, "Energy")]["Dem_TotalAmountDonated"] == 10
     assert wide[(2000, "Energy")]["Rep_TotalContributorSize"] == 0
+    from donorlens.operators.industry import party_labels
+    assert party_labels(t) == {"D": "D", "R": "R"}
     conflicts = rows_by(checks.dimension_conflicts(t), "table_name")
     assert conflicts["industry_codes"]["conflicting_keys"] == 1
 
