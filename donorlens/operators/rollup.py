@@ -52,12 +52,13 @@ def contributor_rollup(facts: DataFrame, keys: list[str], *, mode: str = "spec",
     if "cycle" not in keys:
         raise ValueError("every report is per cycle: keys must include 'cycle'")
     has_context = attributed is not None
-    flag = (attributed if has_context else F.lit(True)).alias(ATTRIBUTED)
-    key_cols = [F.col(k) if k == "cycle" or not has_context else F.when(F.col(ATTRIBUTED), F.col(k)).alias(k)
+    flag = attributed if has_context else F.lit(True)
+    # one projection: report keys (NULL on context rows, except the cycle), the
+    # attribution flag, and every other column the segments may read
+    key_cols = [F.col(k) if k == "cycle" or not has_context else F.when(flag, F.col(k)).alias(k)
                 for k in keys]
-    rows = facts.select(*[c for c in facts.columns if c != ATTRIBUTED], flag)
-    if has_context:
-        rows = rows.select(*[c for c in rows.columns if c not in keys], *key_cols)
+    rows = facts.select(*[c for c in facts.columns if c not in keys and c != ATTRIBUTED],
+                        *key_cols, flag.alias(ATTRIBUTED))
 
     amount = F.col("amount")
     aggs = [F.sum(amount).alias("_t"), F.count(amount).alias("_n"), F.count(F.lit(1)).alias("_r")]
@@ -74,15 +75,15 @@ def contributor_rollup(facts: DataFrame, keys: list[str], *, mode: str = "spec",
 
     if mode == "as_coded":
         # first cycle and size band inside the report group (the group has one cycle)
-        level1 = level1.withColumns({"first_cycle": F.col("cycle"), "cycle_total": F.col("_t")})
+        contributor_cols = {"first_cycle": F.col("cycle"), "cycle_total": F.col("_t")}
     else:
-        by_contributor = Window.partitionBy("contributor_id")
-        level1 = level1.withColumn("first_cycle", F.min("cycle").over(by_contributor))
+        first = F.min("cycle").over(Window.partitionBy("contributor_id"))
         if keys == ["cycle"] and not has_context:
-            level1 = level1.withColumn("cycle_total", F.col("_t"))
+            total = F.col("_t")
         else:
-            by_contributor_cycle = Window.partitionBy("contributor_id", "cycle")
-            level1 = level1.withColumn("cycle_total", F.sum("_t").over(by_contributor_cycle))
+            total = F.sum("_t").over(Window.partitionBy("contributor_id", "cycle"))
+        contributor_cols = {"first_cycle": first, "cycle_total": total}
+    level1 = level1.withColumns(contributor_cols)
     if has_context:
         level1 = level1.where(F.col(ATTRIBUTED))
     return level1
