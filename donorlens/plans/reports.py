@@ -110,12 +110,17 @@ def generate_reports(tables: ContributionTables, names: list[str] | None = None,
 def materialise(tables: ContributionTables) -> ContributionTables:
     """Cut the source lineage once before running several reports.
 
-    The normalised contributions are checkpointed (written to the shared
-    ``spark.checkpoint.dir``, so a lost executor does not force a re-read of
-    the source); every report then scans the checkpoint. Dimensions stay lazy.
+    The normalised contributions are written as a Parquet table to a fresh
+    folder under the shared ``spark.checkpoint.dir`` and read back: a lost
+    executor never forces a re-read of the source, and every report scans
+    only the columns it needs from the columnar copy. Dimensions stay lazy.
     """
-    from donorlens.session import ensure_checkpoint_dir
+    import uuid
+
+    from donorlens.schemas import INDIVIDUAL_CONTRIBUTIONS
+    from donorlens.session import scratch_path
 
     spark = tables.contributions.sparkSession
-    ensure_checkpoint_dir(spark)
-    return tables.with_contributions(tables.contributions.checkpoint(eager=True))
+    path = scratch_path(spark, f"contributions-{uuid.uuid4().hex}")
+    tables.contributions.write.mode("error").parquet(path)
+    return tables.with_contributions(spark.read.schema(INDIVIDUAL_CONTRIBUTIONS).parquet(path))
