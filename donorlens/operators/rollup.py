@@ -52,13 +52,14 @@ def contributor_rollup(facts: DataFrame, keys: list[str], *, mode: str = "spec",
     if "cycle" not in keys:
         raise ValueError("every report is per cycle: keys must include 'cycle'")
     has_context = attributed is not None
-    flag = attributed if has_context else F.lit(True)
     # one projection: report keys (NULL on context rows, except the cycle), the
-    # attribution flag, and every other column the segments may read
-    key_cols = [F.col(k) if k == "cycle" or not has_context else F.when(flag, F.col(k)).alias(k)
+    # attribution flag when there are context rows, and every other column the
+    # segments may read
+    key_cols = [F.col(k) if k == "cycle" or not has_context else F.when(attributed, F.col(k)).alias(k)
                 for k in keys]
+    flag_cols = [attributed.alias(ATTRIBUTED)] if has_context else []
     rows = facts.select(*[c for c in facts.columns if c not in keys and c != ATTRIBUTED],
-                        *key_cols, flag.alias(ATTRIBUTED))
+                        *key_cols, *flag_cols)
 
     amount = F.col("amount")
     aggs = [F.sum(amount).alias("_t"), F.count(amount).alias("_n"), F.count(F.lit(1)).alias("_r")]
@@ -71,7 +72,8 @@ def contributor_rollup(facts: DataFrame, keys: list[str], *, mode: str = "spec",
     for c in carry_max or []:
         aggs.append(F.max(c).alias(c))
 
-    level1 = rows.groupBy(*keys, "contributor_id", ATTRIBUTED).agg(*aggs)
+    group = [*keys, "contributor_id"] + ([ATTRIBUTED] if has_context else [])
+    level1 = rows.groupBy(*group).agg(*aggs)
 
     if mode == "as_coded":
         # first cycle and size band inside the report group (the group has one cycle)
