@@ -53,10 +53,13 @@ def write_jdbc(report: DataFrame, url: str, table: str, properties: dict, *, key
 
 def write_files(report: DataFrame, path: str, *, fmt: str = "csv", keys: list[str] | None = None,
                 mode: str = "overwrite", single_file: bool = True) -> None:
-    """Flat-file export. ``single_file`` merges the (small) report into one part file."""
+    """Flat-file export. ``single_file`` merges the (small) report into one part
+    file, ordered by the key columns (a sort inside that one partition, no shuffle)."""
     if keys:
         check_unique(report, keys)
     out = report.coalesce(1) if single_file else report
+    if single_file and keys:
+        out = out.sortWithinPartitions(*keys)
     writer = out.write.mode(mode).format(fmt)
     if fmt == "csv":
         writer = writer.option("header", "true")

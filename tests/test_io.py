@@ -88,6 +88,8 @@ def test_write_files_and_runner(spark, sf_small):
     back = spark.read.option("header", "true").option("inferSchema", "true").csv(os.path.join(out, "by_cycle"))
     assert back.columns == ["cycle"] + REPORT_COLUMNS
     assert back.count() == reports.by_cycle(t).count()
+    cycles = [r["cycle"] for r in back.collect()]
+    assert cycles == sorted(cycles)  # one part file, ordered by the key
 
 
 def test_write_refuses_duplicate_keys(spark, sf_small):
