@@ -66,7 +66,7 @@ def contributor_rollup(facts: DataFrame, keys: list[str], *, mode: str = "spec",
     for i, seg in enumerate(segments):
         if seg.kind == "row":
             t, n, r = _row_segment_columns(i)
-            pred = seg.predicate()
+            pred = seg.condition()
             aggs += [F.sum(F.when(pred, amount)).alias(t), F.count(F.when(pred, amount)).alias(n),
                      F.count(F.when(pred, F.lit(1))).alias(r)]
     for c in carry_max or []:
@@ -104,7 +104,7 @@ def aggregate_segments(rollup: DataFrame, keys: list[str], *,
             tc, nc, rc = _row_segment_columns(i)
             t, n, present = F.col(tc), F.col(nc), F.col(rc) > 0
         else:
-            pred = F.coalesce(seg.predicate(), F.lit(False))
+            pred = F.coalesce(seg.condition(), F.lit(False))
             t, n, present = F.when(pred, F.col("_t")), F.when(pred, F.col("_n")), pred & (F.col("_r") > 0)
         for m in measures:
             name = m.name(seg.label)

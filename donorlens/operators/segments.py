@@ -26,9 +26,12 @@ from donorlens.schemas import LARGE_ABOVE, MEASURE_PATTERNS, SMALL_BELOW
 
 @dataclass(frozen=True)
 class Segment:
+    """A named subset. ``predicate`` is a SQL condition string or a
+    zero-argument callable returning a Column."""
+
     label: str
     kind: str  # "all" | "row" | "contributor"
-    predicate: Callable[[], Column] | None = None
+    predicate: Callable[[], Column] | str | None = None
 
     def __post_init__(self):
         if self.kind not in ("all", "row", "contributor"):
@@ -36,6 +39,11 @@ class Segment:
         if self.kind != "all" and self.predicate is None:
             raise ValueError(f"segment {self.label!r} needs a predicate")
 
+    def condition(self) -> Column:
+        if isinstance(self.predicate, str):
+            return F.expr(self.predicate)
+        return self.predicate()
+
 
 @dataclass(frozen=True)
 class Measure:

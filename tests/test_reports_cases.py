@@ -166,7 +166,7 @@ def test_sector_reports_and_dimension_conflicts(spark):
 
 def test_custom_segment_and_measure(spark):
     t = make_tables(spark, [c("U1", 2000, amount=1500), c("U1", 2000, amount=10), c("U2", 2000, amount=5)])
-    segments = [Segment("", "all"), Segment("Big", "row", lambda: F.col("amount") >= 1000)]
+    segments = [Segment("", "all"), Segment("Big", "row", "amount >= 1000")]
     measures = [Measure("Total{}AmountDonated", lambda t_, n, p: F.coalesce(F.sum(t_), F.lit(0))),
                 Measure("Max{}ContributorTotal", lambda t_, n, p: F.max(t_))]
     r = reports.by_cycle(t, segments=segments, measures=measures)
@@ -174,6 +174,11 @@ def test_custom_segment_and_measure(spark):
                          "TotalBigAmountDonated", "MaxBigContributorTotal"]
     row = r.first()
     assert (row["TotalAmountDonated"], row["MaxContributorTotal"], row["TotalBigAmountDonated"]) == (1515, 1510, 1500)
+    # the same segment as a Column callable, and a contributor-level SQL segment
+    alt = reports.by_cycle(t, segments=[Segment("Big", "row", lambda: F.col("amount") >= 1000),
+                                        Segment("Mid", "contributor", "cycle_total BETWEEN 10 AND 2000")],
+                           measures=measures[:1]).first()
+    assert (alt["TotalBigAmountDonated"], alt["TotalMidAmountDonated"]) == (1500, 1510)  # U1: 1510; U2: 5
 
 
 def test_empty_input_gives_empty_reports(spark):
