@@ -5,15 +5,37 @@ Each applies its operator with production parameters to the whole table it is me
 
 from __future__ import annotations
 
-from donorlens.llm import quality_rules
+import os
+
+from donorlens.llm import packing, quality_rules, token_files
 from donorlens.llm.common import read_table
 from donorlens.llm.oracle_sql import ORACLE_SQL  # noqa: F401  (re-exported for the entry point)
 
 
+def vocabulary(name: str) -> str:
+    """A public vocabulary file; ``TOKENIZER_DIR`` names another folder that holds it."""
+    folder = os.environ.get("TOKENIZER_DIR")
+    if folder:
+        return os.path.join(folder, name)
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op4_best_fit_packing(spark, sf_dir):
+    return packing.query(read_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+def op6_token_files(spark, sf_dir):
+    return token_files.query(read_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
 def op10_quality_rules(spark, sf_dir):
     return quality_rules.query(read_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op4_best_fit_packing": op4_best_fit_packing,
+    "op6_token_files": op6_token_files,
     "op10_quality_rules": op10_quality_rules,
 }
