@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import os
 
-from donorlens.llm import packing, quality_rules, token_files
+from donorlens.llm import packing, quality_rules, simhash, token_files
 from donorlens.llm.common import read_table
 from donorlens.llm.oracle_sql import ORACLE_SQL  # noqa: F401  (re-exported for the entry point)
 
@@ -22,6 +22,10 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_simhash(spark, sf_dir):
+    return simhash.query(read_table(spark, sf_dir, "documents"))
+
+
 def op4_best_fit_packing(spark, sf_dir):
     return packing.query(read_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
@@ -35,6 +39,7 @@ def op10_quality_rules(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_simhash": op1_simhash,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op6_token_files": op6_token_files,
     "op10_quality_rules": op10_quality_rules,
