@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import os
 
-from donorlens.llm import packing, quality_rules, simhash, token_files
+from donorlens.llm import line_dedup, packing, quality_rules, simhash, token_files
 from donorlens.llm.common import read_table
 from donorlens.llm.oracle_sql import ORACLE_SQL  # noqa: F401  (re-exported for the entry point)
 
@@ -30,6 +30,10 @@ def op4_best_fit_packing(spark, sf_dir):
     return packing.query(read_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op5_line_dedup(spark, sf_dir):
+    return line_dedup.query(read_table(spark, sf_dir, "documents"))
+
+
 def op6_token_files(spark, sf_dir):
     return token_files.query(read_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
@@ -41,6 +45,7 @@ def op10_quality_rules(spark, sf_dir):
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_line_dedup": op5_line_dedup,
     "op6_token_files": op6_token_files,
     "op10_quality_rules": op10_quality_rules,
 }
