@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import os
 
-from donorlens.llm import line_dedup, packing, quality_rules, simhash, token_files
+from donorlens.llm import decontaminate, line_dedup, packing, quality_rules, simhash, token_files
 from donorlens.llm.common import read_table
 from donorlens.llm.oracle_sql import ORACLE_SQL  # noqa: F401  (re-exported for the entry point)
 
@@ -26,6 +26,10 @@ def op1_simhash(spark, sf_dir):
     return simhash.query(read_table(spark, sf_dir, "documents"))
 
 
+def op3_decontamination(spark, sf_dir):
+    return decontaminate.query(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op4_best_fit_packing(spark, sf_dir):
     return packing.query(read_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
@@ -44,6 +48,7 @@ def op10_quality_rules(spark, sf_dir):
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op3_decontamination": op3_decontamination,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_line_dedup": op5_line_dedup,
     "op6_token_files": op6_token_files,
