@@ -228,9 +228,9 @@ def word_encoder(path: str) -> Callable:
     """An encoder factory for the lower-casing word vocabulary at ``path``."""
 
     def make():
-        from donorlens.llm.tokens import PieceTokenizer
+        from donorlens.llm.tokens import piece_tokenizer
 
-        return PieceTokenizer(path, keeps_blanks=False, word_end="</w>").encode
+        return piece_tokenizer(path, keeps_blanks=False, word_end="</w>").encode
 
     return make
 

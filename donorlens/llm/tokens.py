@@ -13,10 +13,11 @@ from __future__ import annotations
 
 import os
 import re
+from functools import lru_cache
 
 import numpy as np
 
-CACHE_PIECES = 800_000
+CACHE_PIECES = 300_000
 _RUN = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 _ODD = re.compile(r"[\x1c-\x1f]")  # white space to Python, not to the library
 
@@ -94,3 +95,9 @@ class PieceTokenizer:
         exact, blanked = self.exact.__getitem__, self.blanked.__getitem__
         return [self._whole(t) if p is None else b"".join([*map(exact, p[0]), *map(blanked, p[1])])
                 for t, p in zip(texts, split)]
+
+
+@lru_cache(maxsize=2)
+def piece_tokenizer(path: str, keeps_blanks: bool, word_end: str = "") -> PieceTokenizer:
+    """The worker's tokenizer: later tasks of the same worker go on with its cache."""
+    return PieceTokenizer(path, keeps_blanks, word_end)
