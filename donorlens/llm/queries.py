@@ -7,7 +7,9 @@ from __future__ import annotations
 
 import os
 
-from donorlens.llm import decontaminate, line_dedup, packing, quality_rules, simhash, token_files
+from donorlens.llm import (
+    decontaminate, langid, line_dedup, packing, quality_model, quality_rules, simhash, suffix_dedup, token_files, toxicity,
+)
 from donorlens.llm.common import read_table
 from donorlens.llm.oracle_sql import ORACLE_SQL  # noqa: F401  (re-exported for the entry point)
 
@@ -26,6 +28,10 @@ def op1_simhash(spark, sf_dir):
     return simhash.query(read_table(spark, sf_dir, "documents"))
 
 
+def op2_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.query(read_table(spark, sf_dir, "documents"))
+
+
 def op3_decontamination(spark, sf_dir):
     return decontaminate.query(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -42,15 +48,31 @@ def op6_token_files(spark, sf_dir):
     return token_files.query(read_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op7_language_id(spark, sf_dir):
+    return langid.query(read_table(spark, sf_dir, "documents"))
+
+
+def op8_quality_classifier(spark, sf_dir):
+    return quality_model.query(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op9_toxicity(spark, sf_dir):
+    return toxicity.query(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op10_quality_rules(spark, sf_dir):
     return quality_rules.query(read_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_decontamination": op3_decontamination,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_line_dedup": op5_line_dedup,
     "op6_token_files": op6_token_files,
+    "op7_language_id": op7_language_id,
+    "op8_quality_classifier": op8_quality_classifier,
+    "op9_toxicity": op9_toxicity,
     "op10_quality_rules": op10_quality_rules,
 }
