@@ -21,7 +21,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from donorlens.llm.common import WORD_BREAK, exactly
+from donorlens.llm.common import WORD_BREAK, exactly, stage
 
 _BLANK = r"\x20\x09-\x0D"
 
@@ -135,9 +135,14 @@ def ablations(book: DataFrame, policies: dict[str, list[str]] | None = None) ->
 
 
 def filter_documents(docs: DataFrame, policy: str = DEFAULT_POLICY) -> DataFrame:
-    """The documents a policy keeps, with their columns unchanged."""
-    names = [c for c in docs.columns]
-    return apply_policy(ledger(docs, *names), policy).where("kept").select(*[F.col(f"`{c}`") for c in names])
+    """The documents a policy keeps, with their columns unchanged.
+
+    The ledger is written down first: a filter pushed into its expressions would evaluate each
+    rule many times over. The document travels as one struct, so no column name can clash.
+    """
+    whole = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("_doc"), docs["text"])
+    book = stage(ledger(whole, "_doc"), "quality-ledger")
+    return apply_policy(book, policy).where("kept").select("_doc.*")
 
 
 def query(docs: DataFrame) -> DataFrame:
