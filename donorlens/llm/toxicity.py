@@ -37,7 +37,7 @@ MAX_TERMS = 256
 MIN_DOCS = 5
 MIN_CONTEXTS = 5
 MIN_CHI2 = 30.0
-RIDGE = 0.002        # on the mean loss
+RIDGE = 0.0002       # on the mean loss: one strong word must be able to outweigh the bias of noisy labels
 FAIRNESS = 5.0       # weight of the swap penalty
 THRESHOLD = 0.7
 FOLDS, HELD_OUT = 3, 1
