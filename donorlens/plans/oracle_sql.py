@@ -21,21 +21,23 @@ base AS (
   JOIN part ON l_partkey = p_partkey
   JOIN nation ON c_nationkey = n_nationkey
   JOIN region ON n_regionkey = r_regionkey
-  WHERE year(o_orderdate) >= 1995 + o_custkey % 7
 ),
 base2 AS (SELECT * FROM base UNION ALL SELECT * FROM base WHERE l_partkey % 50 = 0),
 contributions AS (
   SELECT
     CASE WHEN o_custkey % 97 = 0 THEN '' ELSE concat('U', lpad(CAST(o_custkey AS VARCHAR), 10, '0')) END
       AS contributor_id,
-    CAST(year(o_orderdate) + year(o_orderdate) % 2 AS INTEGER) AS cycle,
-    CASE WHEN l_linenumber % 3 = 0 THEN concat('C', lpad(CAST(l_partkey AS VARCHAR), 8, '0'))
+    CAST(greatest(year(o_orderdate), 1995 + o_custkey % 7)
+         + greatest(year(o_orderdate), 1995 + o_custkey % 7) % 2 AS INTEGER) AS cycle,
+    CASE WHEN l_linenumber % 3 = 0 AND l_partkey % 22 = 0 THEN concat('X', lpad(CAST(l_partkey AS VARCHAR), 8, '0'))
+         WHEN l_linenumber % 3 = 0 AND l_partkey % 11 = 0 THEN concat('CX', lpad(CAST(l_partkey AS VARCHAR), 8, '0'))
+         WHEN l_linenumber % 3 = 0 THEN concat('C', lpad(CAST(l_partkey AS VARCHAR), 8, '0'))
          ELSE concat('N', lpad(CAST(l_suppkey AS VARCHAR), 8, '0')) END AS recipient_id,
     CAST(o_orderdate AS DATE) AS "date",
     CAST(CASE WHEN l_returnflag = 'R' AND l_linenumber = 7 THEN -1 ELSE 1 END *
          CASE o_custkey % 4 WHEN 0 THEN floor(l_quantity / 5) WHEN 3 THEN l_quantity * 10 ELSE l_quantity END
          AS INTEGER) AS amount,
-    p_brand AS real_code,
+    CASE WHEN p_brand = 'Brand#9' THEN 'none' ELSE p_brand END AS real_code,
     concat('C', lpad(CAST(l_partkey AS VARCHAR), 8, '0')) AS committee_id,
     CASE WHEN l_linenumber % 5 = 0 THEN concat('C', lpad(CAST(l_suppkey AS VARCHAR), 8, '0')) ELSE '' END
       AS other_id,
@@ -59,14 +61,14 @@ committees AS (
   SELECT concat('C', lpad(CAST(p_partkey AS VARCHAR), 8, '0')) AS committee_id,
          p_name AS pac_short,
          CASE p_size % 4 WHEN 0 THEN 'D' WHEN 1 THEN 'R' WHEN 2 THEN '' ELSE 'I' END AS party
-  FROM part WHERE p_partkey % 11 <> 0
+  FROM part
 ),
 industry_codes AS (
   SELECT CAST(row_number() OVER (ORDER BY p_brand) AS INTEGER) AS id,
          p_brand AS category_code,
          substr(p_brand, 1, 7) AS industry_code,
          CASE WHEN length(p_brand) = 7 THEN 'Sector A' ELSE 'Sector B' END AS sector
-  FROM (SELECT DISTINCT p_brand FROM part WHERE p_brand <> 'Brand#9')
+  FROM (SELECT DISTINCT p_brand FROM part)
 )"""
 
 # contributions with the contributor's global first cycle and cycle total

@@ -66,8 +66,7 @@ def _by_residue(c, values):
 def contributions_from_star(star: dict[str, DataFrame]) -> DataFrame:
     li = star["lineitem"].select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
                                  "l_quantity", "l_returnflag")
-    orders = (star["orders"].select("o_orderkey", "o_custkey", "o_orderdate")
-              .where("year(o_orderdate) >= 1995 + o_custkey % 7"))
+    orders = star["orders"].select("o_orderkey", "o_custkey", "o_orderdate")
     customer = star["customer"].select("c_custkey", "c_nationkey")
     nation = F.broadcast(star["nation"].select("n_nationkey", "n_name", "n_regionkey"))
     region = F.broadcast(star["region"].select("r_regionkey", "r_name"))
@@ -87,14 +86,19 @@ def contributions_from_star(star: dict[str, DataFrame]) -> DataFrame:
     contributions = base.selectExpr(
         "CASE WHEN o_custkey % 97 = 0 THEN '' "
         "ELSE concat('U', lpad(CAST(o_custkey AS STRING), 10, '0')) END AS contributor_id",
-        "CAST(year(o_orderdate) + year(o_orderdate) % 2 AS INT) AS cycle",
-        "CASE WHEN l_linenumber % 3 = 0 THEN concat('C', lpad(CAST(l_partkey AS STRING), 8, '0')) "
+        # contributors start in different years, so that first cycles vary
+        "CAST(greatest(year(o_orderdate), 1995 + o_custkey % 7) "
+        "+ greatest(year(o_orderdate), 1995 + o_custkey % 7) % 2 AS INT) AS cycle",
+        # recipients outside the dimensions, some with neither prefix
+        "CASE WHEN l_linenumber % 3 = 0 AND l_partkey % 22 = 0 THEN concat('X', lpad(CAST(l_partkey AS STRING), 8, '0')) "
+        "WHEN l_linenumber % 3 = 0 AND l_partkey % 11 = 0 THEN concat('CX', lpad(CAST(l_partkey AS STRING), 8, '0')) "
+        "WHEN l_linenumber % 3 = 0 THEN concat('C', lpad(CAST(l_partkey AS STRING), 8, '0')) "
         "ELSE concat('N', lpad(CAST(l_suppkey AS STRING), 8, '0')) END AS recipient_id",
         "CAST(o_orderdate AS DATE) AS date",
         "CAST(CASE WHEN l_returnflag = 'R' AND l_linenumber = 7 THEN -1 ELSE 1 END * "
         "CASE o_custkey % 4 WHEN 0 THEN floor(l_quantity / 5) WHEN 3 THEN l_quantity * 10 "
         "ELSE l_quantity END AS INT) AS amount",
-        "p_brand AS real_code",
+        "CASE WHEN p_brand = '%s' THEN 'none' ELSE p_brand END AS real_code" % UNMATCHED_BRAND,
         "concat('C', lpad(CAST(l_partkey AS STRING), 8, '0')) AS committee_id",
         "CASE WHEN l_linenumber % 5 = 0 THEN concat('C', lpad(CAST(l_suppkey AS STRING), 8, '0')) "
         "ELSE '' END AS other_id",
@@ -120,7 +124,7 @@ def candidates_from_star(star: dict[str, DataFrame]) -> DataFrame:
 
 
 def committees_from_star(star: dict[str, DataFrame]) -> DataFrame:
-    p = star["part"].where(F.col("p_partkey") % 11 != 0)
+    p = star["part"]
     return p.select(_padded("C", "p_partkey", 8).alias("committee_id"),
                     F.col("p_name").alias("pac_short"),
                     _by_residue(F.col("p_size") % 4, COMMITTEE_PARTY_BY_SIZE_MOD4).alias("party"))
@@ -131,7 +135,7 @@ def industry_codes_from_star(star: dict[str, DataFrame]) -> DataFrame:
 
     # The brand vocabulary is a bounded code list; numbering it needs one
     # ordered pass, which only ever sees the distinct brands.
-    brands = (star["part"].select("p_brand").where(F.col("p_brand") != UNMATCHED_BRAND).distinct())
+    brands = (star["part"].select("p_brand").distinct())
     return brands.select(
         F.row_number().over(Window.orderBy("p_brand")).cast("int").alias("id"),
         F.col("p_brand").alias("category_code"),

@@ -55,3 +55,12 @@ def test_party_labels_cover_the_fixture_pivot(spark, sf_small):
     from donorlens.plans.queries import FIXTURE_PARTY_LABELS
 
     assert party_labels(tables_for(spark, sf_small)) == FIXTURE_PARTY_LABELS
+
+
+def test_mapping_keeps_every_lineitem_row(spark, sf_small):
+    from donorlens.sources.star import contributions_from_star
+
+    names = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
+    star = {n: spark.read.parquet(f"{sf_small}/{n}.parquet") for n in names}
+    lines = star["lineitem"]
+    assert contributions_from_star(star).count() == lines.count() + lines.where("l_partkey % 50 = 0").count()
