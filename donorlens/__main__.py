@@ -52,12 +52,12 @@ def main(argv=None, spark=None):
         tables = read_csv_dir(spark, args.csv_dir, strict=args.strict)
     elif args.parquet_dir:
         from donorlens.sources.files import read_parquet_dir
-        tables = read_parquet_dir(spark, args.parquet_dir)
+        tables = read_parquet_dir(spark, args.parquet_dir, strict=args.strict)
     else:
         from donorlens.sources.jdbc import read_jdbc_tables
         if not args.jdbc_url:
             raise SystemExit("--jdbc-source needs --jdbc-url")
-        tables = read_jdbc_tables(spark, args.jdbc_url, props,
+        tables = read_jdbc_tables(spark, args.jdbc_url, props, strict=args.strict,
                                   cycle_bounds=tuple(args.cycle_bounds) if args.cycle_bounds else None)
     tables = tables.sample(args.sample)
     names = args.reports or list(reports.REPORTS)
@@ -66,9 +66,9 @@ def main(argv=None, spark=None):
 
     def sink(report, name, keys):
         if args.out:
-            write_files(report, os.path.join(args.out, name), fmt=args.format, keys=keys)
+            write_files(report, os.path.join(args.out, name), fmt=args.format, keys=keys, stored=True)
         if args.jdbc_url:
-            write_jdbc(report, args.jdbc_url, name, props, keys=keys)
+            write_jdbc(report, args.jdbc_url, name, props, keys=keys, stored=True)
 
     return run_reports(reports.generate_reports(tables, names, mode=args.mode), sink, keys=reports.REPORT_KEYS)
 

@@ -38,7 +38,7 @@ def read_jdbc_table(spark: SparkSession, url: str, table: str, properties: dict,
 
 def read_jdbc_tables(spark: SparkSession, url: str, properties: dict, *,
                      cycle_bounds: tuple[int, int] | None = None, num_partitions: int = 64,
-                     table_names: dict[str, str] | None = None) -> ContributionTables:
+                     strict: bool = False, table_names: dict[str, str] | None = None) -> ContributionTables:
     """The four tables from a database, typed and normalised.
 
     ``cycle_bounds`` (first, last cycle) turns on the sliced parallel read of
@@ -53,7 +53,7 @@ def read_jdbc_tables(spark: SparkSession, url: str, properties: dict, *,
             kwargs = dict(partition_column="cycle", lower_bound=cycle_bounds[0],
                           upper_bound=cycle_bounds[1] + 1, num_partitions=num_partitions)
         df = read_jdbc_table(spark, url, remote, properties, **kwargs)
-        out[name] = normalise(df.select(*[f.name for f in schema.fields]), schema)
+        out[name] = normalise(df.select(*[f.name for f in schema.fields]), schema, strict=strict)
     return ContributionTables(**out)
 
 

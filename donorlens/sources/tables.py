@@ -44,42 +44,65 @@ def normalise(df: DataFrame, schema: T.StructType, *, strict: bool = False) -> D
     """Bring a raw table to its fixed schema.
 
     Strings: NULL becomes '' (the extract writes NULL as an empty field).
-    Integers and dates are parsed leniently from strings: unparseable values
-    become NULL instead of failing the job; ``rejects`` counts them. With
-    ``strict=True`` a non-empty value that does not parse fails the job.
+    Integers and dates are parsed leniently: a text that does not parse, and a
+    number that an integer column cannot hold unchanged, become NULL instead of
+    failing the job; ``rejects`` counts them. With ``strict=True`` such a value,
+    or an empty text for an integer, fails the job even where no report reads its column.
     """
-    cols = []
+    cols, checks = [], []
     for field in schema.fields:
         c = F.col(field.name)
-        source_type = df.schema[field.name].dataType
-        text_source = isinstance(source_type, T.StringType)
         if isinstance(field.dataType, T.StringType):
-            expr = F.coalesce(c.cast("string"), F.lit(""))
-        elif isinstance(field.dataType, (T.IntegerType, T.DateType)) and text_source:
-            expr = lenient_int(c) if isinstance(field.dataType, T.IntegerType) else lenient_date(c)
-            if strict:
-                bad = c.isNotNull() & (F.trim(c) != "") & expr.isNull()
-                message = F.concat(F.lit(f"unparseable {field.name}: "), c)
-                expr = F.when(bad, F.raise_error(message).cast(field.dataType)).otherwise(expr)
-        else:
-            expr = c.cast(field.dataType)
-        cols.append(expr.alias(field.name))
+            cols.append(F.coalesce(c.cast("string"), F.lit("")).alias(field.name))
+            continue
+        source = df.schema[field.name].dataType
+        value = _typed(c, source, field.dataType)
+        cols.append(value.alias(field.name))
+        bad = _rejected(c, source, value)
+        if isinstance(source, T.StringType) and isinstance(field.dataType, T.IntegerType):
+            bad = value.isNull()
+        shown = F.concat(F.lit(f"unparseable {field.name}: "), F.coalesce(c.cast("string"), F.lit("")))
+        checks.append((bad, shown))
+    if strict and checks:
+        # a filter, so that no column pruning removes a check
+        (bad, shown), *more = checks
+        fine = F.when(bad, F.raise_error(shown).cast("boolean"))
+        for bad, shown in more:
+            fine = fine.when(bad, F.raise_error(shown).cast("boolean"))
+        df = df.where(fine.otherwise(F.lit(True)))
     return df.select(*cols)
 
 
+def _typed(c, source: T.DataType, target: T.DataType):
+    """The value of a raw column in its fixed type; NULL where it has none."""
+    if isinstance(source, T.StringType) and isinstance(target, T.IntegerType):
+        return lenient_int(c)
+    if isinstance(source, T.StringType) and isinstance(target, T.DateType):
+        return lenient_date(c)
+    if isinstance(source, T.NumericType) and source != target:
+        whole = c.try_cast(target)
+        return F.when(whole == c, whole)
+    return c.cast(target)
+
+
+def _rejected(c, source: T.DataType, value):
+    """Is there a raw value that has no typed one? Blank text counts as no value."""
+    given = c.isNotNull() & (F.trim(c) != "") if isinstance(source, T.StringType) else c.isNotNull()
+    return given & value.isNull()
+
+
 def normalise_tables(tables: ContributionTables, *, strict: bool = False) -> ContributionTables:
     return tables.map(lambda name, df: normalise(df, TABLE_SCHEMAS[name], strict=strict))
 
 
-def rejects(raw: DataFrame, schema: T.StructType) -> DataFrame:
-    """One row: count of non-empty raw values per typed column that failed to parse."""
-    aggs = []
+def rejects(raw: DataFrame, schema: T.StructType, *more) -> DataFrame:
+    """One row: count of non-empty raw values per typed column that the load turns into NULL."""
+    aggs = list(more)
     for field in schema.fields:
-        if isinstance(field.dataType, (T.IntegerType, T.DateType)) and \
-                isinstance(raw.schema[field.name].dataType, T.StringType):
+        source = raw.schema[field.name].dataType
+        if not isinstance(field.dataType, T.StringType) and source != field.dataType:
             c = F.col(field.name)
-            parsed = lenient_int(c) if isinstance(field.dataType, T.IntegerType) else lenient_date(c)
-            bad = c.isNotNull() & (F.trim(c) != "") & parsed.isNull()
+            bad = _rejected(c, source, _typed(c, source, field.dataType))
             aggs.append(F.count(F.when(bad, 1)).alias(f"{field.name}_rejects"))
     if not aggs:
         aggs = [F.lit(0).cast("long").alias("rejects")]
