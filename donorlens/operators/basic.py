@@ -45,7 +45,9 @@ def contributions_by_size(df: DataFrame, *, large: bool,
     """Contributions of contributors whose cycle total is < small_below (or > large_above)."""
     totals = contributor_cycle_totals(df)
     band = F.col("total_amount") > large_above if large else F.col("total_amount") < small_below
-    keys = totals.where(band).select("contributor_id", "cycle")
+    # The join gets an exchange of its own on both sides: over the aggregate's own partitioning
+    # adaptive execution would not split a hot contributor's rows.
+    keys = totals.where(band).select("contributor_id", "cycle").repartition(F.xxhash64("cycle", "contributor_id"))
     return df.join(keys, ["contributor_id", "cycle"], "left_semi").select(*df.columns)
 
 

@@ -77,16 +77,26 @@ def by_sector_pivot(tables: ContributionTables, party_labels: dict[str, str], *,
 def party_labels(tables: ContributionTables, empty_label: str = "NONE") -> dict[str, str]:
     """Pivot labels for every party code in the candidate and committee tables.
 
-    Party codes are a short code list, so collecting their distinct values is
-    bounded; '' (no party) gets ``empty_label``. Characters that are not
-    letters, digits or '_' become '_' so labels are plain column names.
+    '' (no party) gets ``empty_label``. Characters that are not letters, digits or
+    '_' become '_' so labels are plain column names; codes that would share a label
+    (column names ignore case) get numbered ones. More codes than
+    ``spark.sql.pivotMaxValues`` are an error.
     """
     import re
 
-    codes = (tables.candidates.select("party").unionByName(tables.committees.select("party"))
-             .distinct().orderBy("party").collect())
-    out = {}
-    for (code,) in codes:
-        code = code or ""
-        out[code] = re.sub(r"[^0-9A-Za-z_]", "_", code) if code else empty_label
+    most = int(tables.candidates.sparkSession.conf.get("spark.sql.pivotMaxValues"))
+    parties = tables.candidates.select("party").unionByName(tables.committees.select("party"))
+    codes = parties.select(F.coalesce("party", F.lit("")).alias("party")).distinct().limit(most + 1).collect()
+    if len(codes) > most:
+        raise ValueError(f"more than {most} party codes for a pivot (spark.sql.pivotMaxValues)")
+    out: dict[str, str] = {}
+    used: set[str] = set()
+    for code in sorted(r["party"] for r in codes):
+        plain = re.sub(r"[^0-9A-Za-z_]", "_", code) if code else empty_label
+        label, n = plain, 1
+        while label.lower() in used:
+            n += 1
+            label = f"{plain}_{n}"
+        used.add(label.lower())
+        out[code] = label
     return out

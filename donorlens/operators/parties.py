@@ -122,9 +122,10 @@ def unmatched_recipients(tables: ContributionTables) -> DataFrame:
     """
     from donorlens.functions.expressions import recipient_kind
 
-    facts = attribute_spec(tables).where(F.col("party").isNull())
-    return (facts.groupBy("cycle", "recipient_id")
-            .agg(F.count(F.lit(1)).alias("contributions"),
-                 F.coalesce(F.sum("amount"), F.lit(0)).cast("long").alias("amount"))
+    # totals first: a hot recipient is one row per task before the shuffle, one row at the join
+    totals = tables.contributions.groupBy("cycle", "recipient_id").agg(
+        F.count(F.lit(1)).alias("contributions"),
+        F.coalesce(F.sum("amount"), F.lit(0)).cast("long").alias("amount"))
+    return (attribute_spec(tables, totals).where(F.col("party").isNull())
             .withColumn("recipient_kind", recipient_kind("recipient_id"))
             .select("cycle", "recipient_id", "recipient_kind", "contributions", "amount"))

@@ -12,18 +12,13 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from donorlens.operators import basic, parties
+from donorlens.operators import basic, industry, parties
 from donorlens.plans import checks, reports
 from donorlens.session import scratch_path
 from donorlens.sources.files import read_csv_dir, write_csv_dir
 from donorlens.sources.star import load_star_tables
 from donorlens.sources.tables import ContributionTables, normalise_tables
 
-# Column labels of the party pivot for the party codes found in
-# the test data ('' is a real party code and needs a name).
-FIXTURE_PARTY_LABELS = {"D": "D", "R": "R", "I": "I", "L": "L", "": "NONE"}
-
-
 def tables_for(spark: SparkSession, sf_dir: str) -> ContributionTables:
     return normalise_tables(load_star_tables(spark, sf_dir))
 
@@ -76,7 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "report_by_sector": _q(lambda t: reports.by_sector(t)),
     "report_by_sector_keep_unmatched": _q(lambda t: reports.by_sector(t, keep_unmatched=True)),
     "report_by_sector_by_party": _q(lambda t: reports.by_sector_by_party(t)),
-    "report_by_sector_pivot": _q(lambda t: reports.by_sector_pivot(t, FIXTURE_PARTY_LABELS)),
+    "report_by_sector_pivot": _q(lambda t: reports.by_sector_pivot(t, industry.party_labels(t))),
     # quality
     "unmatched_recipients": _q(parties.unmatched_recipients),
     "key_violations": _q(_key_violations),

@@ -97,10 +97,14 @@ def generate_reports(tables: ContributionTables, names: list[str] | None = None,
     """Yield ``(name, DataFrame)`` lazily, one report at a time.
 
     Each option goes to the reports that take it (``mode`` only to the two
-    reports that have an as-coded variant, ``k`` to the top-k reports, ...).
+    reports that have an as-coded variant, ``k`` to the top-k reports, ...); an
+    option that no report takes is an error.
     """
     import inspect
 
+    known = {p for builder, _ in REPORTS.values() for p in inspect.signature(builder).parameters}
+    if unknown := options.keys() - known:
+        raise TypeError(f"no report takes {sorted(unknown)}")
     for name in names or list(REPORTS):
         builder, _ = REPORTS[name]
         accepted = inspect.signature(builder).parameters

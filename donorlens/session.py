@@ -1,8 +1,8 @@
 """SparkSession defaults for running the reports.
 
-On a cluster the session comes from the platform; ``configure`` only fills in
-settings that are still unset, so cluster-wide choices (shuffle partitions,
-``spark.checkpoint.dir`` on shared storage) always win.
+On a cluster the session comes from the platform. ``build_session`` sets the
+defaults below over the cluster's; ``spark.checkpoint.dir`` and, unless an
+argument names them, the shuffle partitions stay as the cluster has them.
 """
 
 from __future__ import annotations

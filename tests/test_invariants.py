@@ -1,5 +1,7 @@
 """Invariants that must hold on any data (checked on the sf0.001 tables)."""
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from donorlens.plans import reports
@@ -52,9 +54,24 @@ def test_sector_rows_partition_the_matched_contributions(spark, sf_small):
 
 def test_party_labels_cover_the_fixture_pivot(spark, sf_small):
     from donorlens.operators.industry import party_labels
-    from donorlens.plans.queries import FIXTURE_PARTY_LABELS
 
-    assert party_labels(tables_for(spark, sf_small)) == FIXTURE_PARTY_LABELS
+    assert party_labels(tables_for(spark, sf_small)) == {"D": "D", "R": "R", "I": "I", "L": "L", "": "NONE"}
+
+
+def test_party_labels_never_collide_and_keep_every_party(spark):
+    from donorlens.operators.industry import by_sector_pivot, party_labels
+    from tests.helpers import contribution as c, make_tables
+
+    codes = ["", "NONE", "none", "A-B", "A_B", "G"]
+    t = make_tables(spark, [c(f"U{i}", 2000, f"N{i}", 10 + i) for i in range(len(codes))],
+                    [(f"N{i}", p, 2000) for i, p in enumerate(codes)], [])
+    t = t.with_contributions(t.contributions.withColumn("real_code", F.lit("K1")))
+    codes_table = spark.createDataFrame([(1, "K1", "K", "Energy")], t.industry_codes.schema)
+    t = replace(t, industry_codes=codes_table)
+    labels = party_labels(t)
+    assert set(labels) == set(codes) and len({v.lower() for v in labels.values()}) == len(codes)
+    row = by_sector_pivot(t, labels).first().asDict()
+    assert [row[f"{labels[p]}_TotalAmountDonated"] for p in codes] == [10 + i for i in range(len(codes))]
 
 
 def test_mapping_keeps_every_lineitem_row(spark, sf_small):

@@ -50,7 +50,7 @@ def test_csv_extract_format_is_parsed_leniently(spark):
     assert t.committees.first()["pac_short"] == "Friends, of One"
     assert {r["cid"]: r["party"] for r in t.candidates.collect()} == {"N1": "D", "N2": ""}
     rej = csv_rejects(spark, d)["individual_contributions"].first().asDict()
-    assert rej == {"cycle_rejects": 0, "date_rejects": 1, "amount_rejects": 1}
+    assert rej == {"record_rejects": 0, "cycle_rejects": 0, "date_rejects": 1, "amount_rejects": 1}
     # a NULL amount still counts its contributor, not the sum or the mean
     r = reports.by_cycle(t).first()
     assert (r["TotalAmountDonated"], r["TotalContributorSize"], r["AverageAmountDonated"]) == (10, 3, 10)
@@ -60,6 +60,88 @@ def test_csv_extract_format_is_parsed_leniently(spark):
     assert read_csv_dir(spark, d, strict=True).candidates.count() == 2
 
 
+def test_csv_roundtrip_keeps_line_breaks_quotes_and_blanks(spark):
+    from tests.helpers import contribution as c, make_tables
+
+    odd = ["New\nYork", " Town ", 'the "A", B', "", "a\\b", "\n"]
+    t = make_tables(spark, [c(f"U{i}", 2000, "N1", i) for i in range(len(odd))], [("N1", "D", 2000)], [])
+    city = F.element_at(F.array(*[F.lit(x) for x in odd]), F.substring("contributor_id", 2, 1).cast("int") + 1)
+    t = t.with_contributions(t.contributions.withColumn("city", city))
+    d = tempfile.mkdtemp(prefix="donorlens-odd-")
+    write_csv_dir(t, d)
+    back = read_csv_dir(spark, d).contributions
+    assert {r["contributor_id"]: r["city"] for r in back.collect()} == {f"U{i}": x for i, x in enumerate(odd)}
+    assert _rows(back) == _rows(t.contributions.select(*back.columns))
+    assert csv_rejects(spark, d)["individual_contributions"].first()["record_rejects"] == 0
+
+
+def _extract(contributions):
+    d = tempfile.mkdtemp(prefix="donorlens-extract-")
+    lines = {"candidates": ["N1,D,2000"], "committees": ["C1,Friends,R"], "industry_codes": ["1,K1,K,Energy"],
+             "individual_contributions": contributions}
+    for name, rows in lines.items():
+        with open(os.path.join(d, f"{name}.csv"), "w") as fh:
+            fh.write("\n".join(rows) + "\n")
+    return d
+
+
+@pytest.mark.parametrize("multiline", [True, False])
+def test_records_with_a_wrong_number_of_fields_are_counted_and_refused(spark, multiline):
+    good = "U1,2000,N1,2000-03-04,10,K1,C1,,F,Town,ST,00001"
+    d = _extract([good, "U2,2000,N1,2000-03-04,10", good + ",more"])
+    rej = csv_rejects(spark, d, multiline=multiline)["individual_contributions"].first()
+    assert rej["record_rejects"] == 2
+    assert read_csv_dir(spark, d, multiline=multiline).contributions.count() == 3
+    with pytest.raises(Exception, match="malformed record"):
+        read_csv_dir(spark, d, strict=True, multiline=multiline).contributions.count()
+
+
+def test_strict_refuses_empty_integers_even_in_columns_no_one_reads(spark):
+    d = _extract(["U1,2000,N1,2000-03-04,,K1,C1,,F,Town,ST,00001"])
+    assert read_csv_dir(spark, d).contributions.count() == 1
+    with pytest.raises(Exception, match="unparseable amount"):
+        read_csv_dir(spark, d, strict=True).contributions.select("cycle").collect()
+
+
+def test_numbers_an_integer_cannot_hold_are_rejects(spark):
+    from donorlens.schemas import INDIVIDUAL_CONTRIBUTIONS
+    from donorlens.sources.files import read_parquet_dir
+    from donorlens.sources.tables import normalise, rejects
+    from tests.helpers import contribution as c, make_tables
+
+    t = make_tables(spark, [c("U1", 2000, "N1", 1), c("U2", 2000, "N1", 2), c("U3", 2000, "N1", 3)],
+                    [("N1", "D", 2000)], [])
+    amount = F.expr("CASE contributor_id WHEN 'U1' THEN 2000.75 WHEN 'U2' THEN 30000000000.00 ELSE 7.00 END")
+    raw = t.contributions.withColumn("amount", amount)
+    got = {r["contributor_id"]: r["amount"] for r in normalise(raw, INDIVIDUAL_CONTRIBUTIONS).collect()}
+    assert got == {"U1": None, "U2": None, "U3": 7}
+    assert rejects(raw, INDIVIDUAL_CONTRIBUTIONS).first()["amount_rejects"] == 2
+    d = tempfile.mkdtemp(prefix="donorlens-decimal-")
+    for name, df in t.with_contributions(raw).items():
+        df.write.parquet(os.path.join(d, f"{name}.parquet"))
+    assert read_parquet_dir(spark, d).contributions.count() == 3
+    with pytest.raises(Exception, match="unparseable amount"):
+        read_parquet_dir(spark, d, strict=True).contributions.count()
+
+
+def test_a_keyed_write_computes_the_report_once(spark, sf_small, monkeypatch):
+    from donorlens.plans.checks import plan_text
+    from donorlens.sinks import writers
+
+    seen = []
+    monkeypatch.setattr(writers, "check_unique", lambda report, keys: seen.append(plan_text(report)))
+    out = os.path.join(tempfile.mkdtemp(prefix="donorlens-once-"), "r")
+    write_files(reports.by_cycle(tables_for(spark, sf_small)), out, keys=["cycle"])
+    run_reports([("by_cycle", reports.by_cycle(tables_for(spark, sf_small)))],
+                lambda report, name, keys: seen.append(plan_text(report)))
+    assert len(seen) == 2 and all("lineitem" not in text and "report-" in text for text in seen)
+
+
+def test_unknown_report_option_is_an_error(spark, sf_small):
+    with pytest.raises(TypeError, match="colour"):
+        list(reports.generate_reports(tables_for(spark, sf_small), ["by_cycle"], colour="red"))
+
+
 def test_snapshot_writes_once(spark, sf_small):
     t = tables_for(spark, sf_small)
     d = tempfile.mkdtemp(prefix="donorlens-snap-")
@@ -102,7 +184,10 @@ def test_write_refuses_duplicate_keys(spark, sf_small):
 def test_jdbc_column_types(spark, sf_small):
     t = tables_for(spark, sf_small)
     ddl = column_types(reports.by_cycle_by_party(t))
-    assert ddl.startswith("cycle INTEGER, party VARCHAR(255), TotalAmountDonated BIGINT")
+    # text columns keep the database's own unbounded type
+    assert ddl.startswith("cycle INTEGER, TotalAmountDonated BIGINT")
+    with pytest.raises(TypeError, match="share"):
+        column_types(spark.range(1).selectExpr("0.5D AS share"))
 
 
 def test_materialise_writes_contributions_once(spark, sf_small):

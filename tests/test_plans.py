@@ -1,5 +1,7 @@
 """Plan-shape assertions: what Catalyst must (not) produce for the reports."""
 
+from pyspark.sql import functions as F
+
 from donorlens.plans import reports
 from donorlens.plans.checks import assert_plan, plan_text
 from donorlens.plans.queries import tables_for
@@ -103,3 +105,34 @@ def test_sort_merge_and_skew_split_paths_give_same_results(spark, sf_small):
             assert sorted(map(tuple, df.collect())) == baseline[n], n
             if n == "report_by_cycle_by_party":
                 assert "SortMergeJoin" in plan_text(df, "simple")
+
+
+def test_hot_contributor_is_split_in_the_size_band_join(spark):
+    """Nine tenths of the rows belong to one contributor and cycle: with a sort-merge join the
+    partition of that key is split, and the rows do not change."""
+    from donorlens.operators.basic import contributions_by_size
+    from tests.helpers import contribution as c, make_tables
+
+    t = make_tables(spark, [c("HOT", 2000, "N1", 1)], [("N1", "D", 2000)], [])
+    facts = (t.contributions.drop("contributor_id").crossJoin(spark.range(0, 20000, 1, 8))
+             .selectExpr("CASE WHEN id % 10 > 0 THEN 'HOT' ELSE concat('U', id) END AS contributor_id", "*")
+             .withColumn("city", F.sha2(F.col("id").cast("string"), 256)).drop("id").select(*t.contributions.columns))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1000",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10000",
+    }
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        df = contributions_by_size(facts, large=True)
+        assert df.groupBy("contributor_id").count().collect() == [("HOT", 18000)]
+        df = contributions_by_size(facts, large=True)
+        df.collect()
+        assert "skew=true" in plan_text(df, "simple")
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
