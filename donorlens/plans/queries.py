@@ -10,7 +10,7 @@ from __future__ import annotations
 import uuid
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from donorlens.operators import basic, industry, parties
 from donorlens.plans import checks, reports
@@ -32,18 +32,31 @@ def _q(fn: Callable[[ContributionTables], DataFrame]) -> Callable[[SparkSession,
 
 
 def _csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Write the tables in the CSV extract layout, read them back, run the by-cycle report.
+    """Write the tables in the CSV extract layout, read them back, and sum the rows up per text value.
 
-    The files go to a fresh folder under the shared checkpoint directory.
+    Cities are given line breaks, blanks at both ends and quotes first. The files go to a
+    fresh folder under the shared checkpoint directory.
     """
     folder = scratch_path(spark, f"csv-roundtrip-{uuid.uuid4().hex}")
-    write_csv_dir(tables_for(spark, sf_dir), folder)
-    return reports.by_cycle(read_csv_dir(spark, folder))
+    tables = tables_for(spark, sf_dir)
+    city = ("CASE abs(amount) % 4 WHEN 0 THEN concat('New', char(10), city) WHEN 1 THEN concat(' ', city, ' ') "
+            "WHEN 2 THEN concat('\"', city, '\", x') ELSE city END")
+    write_csv_dir(tables.with_contributions(tables.contributions.withColumn("city", F.expr(city))), folder)
+    back = read_csv_dir(spark, folder).contributions
+    return back.groupBy("cycle", "city", "state", "zip", "gender").agg(
+        F.count(F.lit(1)).alias("contributions"), F.sum("amount").alias("amount"),
+        F.min("date").alias("first_date"), F.max("recipient_id").alias("last_recipient"))
 
 
 def _key_violations(t: ContributionTables) -> DataFrame:
-    plans = {name: (builder(t), keys) for name, (builder, keys) in reports.REPORTS.items()}
-    return checks.key_violation_summary(plans)
+    """Keys one might take for unique in the inputs, and how many of their values repeat."""
+    return checks.key_violation_summary({
+        "candidates": (t.candidates, ["cid"]),
+        "candidates per cycle": (t.candidates, ["cid", "cycle"]),
+        "committees": (t.committees, ["committee_id"]),
+        "industry_codes": (t.industry_codes, ["category_code"]),
+        "contributions": (t.contributions, ["contributor_id", "date", "recipient_id"]),
+    })
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
