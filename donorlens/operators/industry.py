@@ -24,7 +24,9 @@ def attribute_sector(tables: ContributionTables, facts: DataFrame | None = None,
                      keep_unmatched: bool = False) -> DataFrame:
     """Contributions with ``sector``: NULL for unknown codes, or '' when ``keep_unmatched``."""
     facts = tables.contributions if facts is None else facts
-    out = facts.join(sector_dimension(tables), F.col("real_code") == F.col("category_code"), "left")
+    # an exchange of its own, not the aggregate's, lets adaptive execution split a hot code
+    sectors = sector_dimension(tables).repartition(F.xxhash64("category_code"))
+    out = facts.join(sectors, F.col("real_code") == F.col("category_code"), "left")
     out = out.drop("category_code")
     if keep_unmatched:
         out = out.withColumn("sector", F.coalesce(F.col("sector"), F.lit("")))

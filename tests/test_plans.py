@@ -107,13 +107,15 @@ def test_sort_merge_and_skew_split_paths_give_same_results(spark, sf_small):
                 assert "SortMergeJoin" in plan_text(df, "simple")
 
 
-def test_hot_contributor_is_split_in_the_size_band_join(spark):
-    """Nine tenths of the rows belong to one contributor and cycle: with a sort-merge join the
-    partition of that key is split, and the rows do not change."""
+def test_hot_contributor_and_hot_code_are_split_in_their_joins(spark):
+    """Nine tenths of the rows belong to one contributor and cycle, all to one code: with
+    sort-merge joins the partitions of these keys are split, and the rows do not change."""
     from donorlens.operators.basic import contributions_by_size
+    from donorlens.operators.industry import attribute_sector
     from tests.helpers import contribution as c, make_tables
 
-    t = make_tables(spark, [c("HOT", 2000, "N1", 1)], [("N1", "D", 2000)], [])
+    t = make_tables(spark, [c("HOT", 2000, "N1", 1)], [("N1", "D", 2000)], [],
+                    [(i, f"X{i}", "X", "Energy") for i in range(1, 50)])
     facts = (t.contributions.drop("contributor_id").crossJoin(spark.range(0, 20000, 1, 8))
              .selectExpr("CASE WHEN id % 10 > 0 THEN 'HOT' ELSE concat('U', id) END AS contributor_id", "*")
              .withColumn("city", F.sha2(F.col("id").cast("string"), 256)).drop("id").select(*t.contributions.columns))
@@ -133,6 +135,10 @@ def test_hot_contributor_is_split_in_the_size_band_join(spark):
         df = contributions_by_size(facts, large=True)
         df.collect()
         assert "skew=true" in plan_text(df, "simple")
+        # every row has the same industry code
+        df = attribute_sector(t.with_contributions(facts), keep_unmatched=True)
+        assert len(df.collect()) == 20000
+        assert "skew=true" in plan_text(df, "simple")
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
