@@ -1,17 +1,20 @@
 """Toxicity by a counterfactually regularised classifier.
 
-A logistic model over the presence of words. Besides the usual loss it is
-penalised for changing its score when an identity term in a labelled text is
+A logistic model over the presence of words and the frequency of word beginnings
+(an inflected word has one stem and many endings, each of them rare). Besides the
+usual loss it is penalised for changing its score when an identity term in a labelled text is
 swapped for another of its group, so a neutral mention of a group cannot carry a
 score and one group's term cannot weigh more than another's.
 
 Fit: about ``TRAIN_DOCS`` labelled documents (by hash of doc_id; the bound is
-the parameter), each distinct text once. Word statistics are grouped in Spark. A
-word becomes a feature only if its presence differs strongly between the classes
-and it stands in at least ``MIN_CONTEXTS`` different surroundings of the class it
-speaks for: words that merely sit in many near copies of one text do not. The
-design matrix (chosen words only) is what the driver fits. Scoring is one narrow
-pass over whole texts.
+the parameter), each distinct text once. Term statistics are grouped in Spark. A
+term becomes a feature only if its presence differs between the classes by more
+than chance would have it for any of the terms tested, and it stands in different
+surroundings in at least ``CONTEXT_SHARE`` of the texts of the class it speaks for:
+terms that merely sit in many near copies of one text do not. All floors follow
+the sample's size. Beginnings of identity terms are no features, so that the
+penalty cannot be evaded through them. The design matrix (chosen terms only) is
+what the driver fits. Scoring is one narrow pass over whole texts.
 
 Defined results: a null or empty text gets the score of a text without any known
 word; null labels and labels without a document are not used; a document with
@@ -22,8 +25,10 @@ is 0; null doc_ids are carried and not learned from; repeated rows are repeated.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from math import log
 
 import numpy as np
 import pyarrow as pa
@@ -33,10 +38,13 @@ from pyspark.sql import DataFrame, functions as F
 from donorlens.llm.common import exactly, stage
 
 TRAIN_DOCS = 12_000
-MAX_TERMS = 256
-MIN_DOCS = 5
-MIN_CONTEXTS = 5
-MIN_CHI2 = 30.0
+PREFIXES = range(4, 9)   # lengths of the word beginnings, written with a final *
+FULL_RATE = 0.01         # share of a text's words from which a beginning counts in full
+TERM_SHARE = 0.1         # features per training text at most
+DOC_SHARE, LEAST_DOCS = 0.01, 3          # texts a term stands in: share of the smaller class, and the least
+CONTEXT_SHARE, LEAST_CONTEXTS = 0.5, 2   # different surroundings: share of those texts, and the least
+CHANCE = 0.05            # of any feature at all, were the labels dealt at random
+FLUSH = 200_000          # terms that a task counts before it passes them on
 RIDGE = 0.0002       # on the mean loss: one strong word must be able to outweigh the bias of noisy labels
 FAIRNESS = 5.0       # weight of the swap penalty
 THRESHOLD = 0.7
@@ -63,14 +71,45 @@ def words(text: str | None) -> list[str]:
     return _TOKEN.findall(text.lower()) if text else []
 
 
-@dataclass
+def beginnings(word: str) -> list[str]:
+    return [word[:k] + "*" for k in PREFIXES if k <= len(word)]
+
+
+class Terms:
+    """Values of known terms in a text: 1 for a word that occurs, for a beginning its frequency up to ``FULL_RATE``."""
+
+    def __init__(self, terms: Iterable[str]):
+        terms = set(terms)
+        self.whole = {t for t in terms if not t.endswith("*")}
+        self.starts = terms - self.whole
+        self.heads = {t[:PREFIXES[0]] for t in self.starts}
+
+    def of_word(self, word: str) -> list[str]:
+        found = [word] if word in self.whole else []
+        if word[:PREFIXES[0]] in self.heads:
+            found += [b for b in beginnings(word) if b in self.starts]
+        return found
+
+    def values(self, text: str | None) -> dict[str, float]:
+        found = words(text)
+        counts = Counter(found)
+        out = dict.fromkeys(self.whole & counts.keys(), 1.0)
+        rates: Counter = Counter()
+        for w in counts:
+            if w[:PREFIXES[0]] in self.heads:
+                for b in beginnings(w):
+                    if b in self.starts:
+                        rates[b] += counts[w]
+        out.update((b, min(1.0, n / len(found) / FULL_RATE)) for b, n in rates.items())
+        return out
+
+
 class Model:
-    bias: float
-    weights: dict[str, float]
+    def __init__(self, bias: float, weights: dict[str, float]):
+        self.bias, self.weights, self.terms = bias, weights, Terms(weights)
 
     def score(self, text: str | None) -> float:
-        known = self.weights.keys() & set(words(text))
-        z = self.bias + sum(map(self.weights.__getitem__, sorted(known)))
+        z = self.bias + sum(self.weights[t] * v for t, v in sorted(self.terms.values(text).items()))
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
@@ -93,33 +132,65 @@ def training_rows(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DO
     return stage(once, "toxicity-training")
 
 
-def choose_terms(rows: DataFrame, n_toxic: int, n_clean: int) -> list[str]:
-    """At most ``MAX_TERMS`` words by chi-square of their presence."""
+def choose_terms(rows: DataFrame, n_toxic: int, n_clean: int, barred: Iterable[str] = ()) -> list[str]:
+    """Words and beginnings whose presence tells the classes apart, best first."""
+    names = ["term", "toxic", "n"]
 
     def presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: tuple[Counter, Counter] = (Counter(), Counter())
+
+        def passed_on() -> Iterator[pa.RecordBatch]:
+            for toxic, c in enumerate(counts):
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.string()), pa.array([toxic] * len(c), pa.int32()),
+                                                  pa.array(list(c.values()), pa.int64())], names=names)
+                c.clear()
+
         for batch in batches:
             for toxic, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found = words(text)
-                around = {w: (a, b) for a, w, b in zip(["", *found], found, [*found[1:], ""])}
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(around), pa.string()), pa.array([toxic] * len(around), pa.int32()),
-                     pa.array([xxhash.xxh64_intdigest(" ".join(c)) >> 1 for c in around.values()], pa.int64())],
-                    names=["word", "toxic", "around"])
-
-    seen = rows.select("toxic", "text").mapInArrow(presence, "word string, toxic int, around long")
-    by_context = seen.groupBy("word", "toxic", "around").agg(F.count(F.lit(1)).alias("n"))
-    stats = by_context.groupBy("word").agg(
-        *[F.coalesce(F.sum(F.when(F.col("toxic") == c, F.col("n"))), F.lit(0)).alias(f"docs{c}") for c in (0, 1)],
-        *[F.count(F.when(F.col("toxic") == c, 1)).alias(f"contexts{c}") for c in (0, 1)])
+                found = set(words(text))
+                counts[toxic > 0].update(found | {w[:k] + "*" for k in PREFIXES for w in found if k <= len(w)})
+                if sum(map(len, counts)) > FLUSH:
+                    yield from passed_on()
+        yield from passed_on()
+
+    seen = rows.select("toxic", "text").mapInArrow(presence, "term string, toxic int, n long")
+    stats = stage(seen.groupBy("term").agg(
+        *[F.coalesce(F.sum(F.when(F.col("toxic") == c, F.col("n"))), F.lit(0)).alias(f"docs{c}") for c in (0, 1)]),
+        "toxicity-terms")
+    n_terms = max(1, stats.count())
     a, b = F.col("docs1").cast("double"), F.col("docs0").cast("double")
     n = n_toxic + n_clean
     off = a * (n_clean - b) - b * (n_toxic - a)
     scale = (a + b) * (n - a - b) * n_toxic * n_clean
-    speaks = F.when(off > 0, F.col("contexts1")).otherwise(F.col("contexts0"))
-    best = (stats.where((a + b) >= MIN_DOCS).withColumn("chi2", F.when(scale > 0, n * off * off / scale).otherwise(0.0))
-            .where((speaks >= MIN_CONTEXTS) & (F.col("chi2") >= MIN_CHI2))
-            .orderBy(F.desc("chi2"), "word").limit(MAX_TERMS))
-    return [r["word"] for r in best.select("word").collect()]
+    strong = (stats.where((a + b) >= max(LEAST_DOCS, DOC_SHARE * min(n_toxic, n_clean)))
+              .withColumn("chi2", F.when(scale > 0, n * off * off / scale).otherwise(0.0))
+              .where(F.col("chi2") >= 2 * log(n_terms / CHANCE))
+              .select("term", "chi2", (off > 0).cast("int").alias("speaks"),
+                      F.when(off > 0, F.col("docs1")).otherwise(F.col("docs0")).alias("docs")))
+    best = {r["term"]: r for r in strong.collect()}  # of a bounded sample of texts
+    for t in barred:
+        best.pop(t, None)
+    shared = rows.sparkSession.sparkContext.broadcast((Terms(best), {t: r["speaks"] for t, r in best.items()}))
+
+    def surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        terms, speaks = shared.value
+        for batch in batches:
+            out = {}
+            for i, (toxic, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+                found = words(text)
+                for a, w, b in zip(["", *found], found, [*found[1:], ""]):
+                    for t in terms.of_word(w):
+                        if speaks[t] == toxic:
+                            out[i, t] = a, b
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([t for _, t in out], pa.string()),
+                 pa.array([xxhash.xxh64_intdigest(" ".join(c)) >> 1 for c in out.values()], pa.int64())],
+                names=["term", "around"])
+
+    around = rows.select("toxic", "text").mapInArrow(surroundings, "term string, around long")
+    contexts = {r["term"]: r["n"] for r in around.distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n")).collect()}
+    passed = [t for t, r in best.items() if contexts.get(t, 0) >= max(LEAST_CONTEXTS, CONTEXT_SHARE * r["docs"])]
+    return sorted(passed, key=lambda t: (-best[t]["chi2"], t))[:max(1, int(TERM_SHARE * n))]
 
 
 def swap_penalty(terms: list[str], mentions: np.ndarray, groups: list[list[str]]) -> np.ndarray:
@@ -177,19 +248,23 @@ def fit(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS,
     if not n_toxic or not n_clean:
         return None
     identity = {t for g in groups for t in g}
-    terms = [*sorted(identity), *(t for t in choose_terms(rows, n_toxic, n_clean) if t not in identity)]
+    barred = identity.union(*map(beginnings, identity))
+    terms = [*sorted(identity), *choose_terms(rows, n_toxic, n_clean, barred)]
     at = {t: i for i, t in enumerate(terms)}
+    known = Terms(terms)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cells = [sorted(at[w] for w in at.keys() & set(words(t))) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cells, pa.list_(pa.int32()))], names=["toxic", "cells"])
+            got = [sorted((at[w], v) for w, v in known.values(t).items()) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([[i for i, _ in g] for g in got], pa.list_(pa.int32())),
+                 pa.array([[v for _, v in g] for g in got], pa.list_(pa.float64()))], names=["toxic", "cells", "values"])
 
-    # a bounded sample: about train_docs rows of a few known words each
-    found = rows.select("toxic", "text").mapInArrow(encode, "toxic int, cells array<int>").collect()
+    # a bounded sample: about train_docs rows of a few known terms each
+    found = rows.select("toxic", "text").mapInArrow(encode, "toxic int, cells array<int>, values array<double>").collect()
     x = np.zeros((len(found), len(terms)), dtype=np.float64)
     for i, r in enumerate(found):
-        x[i, r["cells"]] = 1
+        x[i, r["cells"]] = r["values"]
     y = np.array([r["toxic"] for r in found], dtype=np.float64)
     w = fit_weights(x, y, FAIRNESS * swap_penalty(terms, x.mean(axis=0), groups))
     return Model(float(w[-1]), {t: float(v) for t, v in zip(terms, w) if v})

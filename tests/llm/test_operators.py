@@ -224,6 +224,34 @@ def test_toxicity_flags_no_clean_document(spark, sf_small):
     assert wrong <= 0.01 * len(got) and any(r["predicted"] == 1 for r in got)
 
 
+def test_toxicity_held_out_recall_per_language(spark, sf_small):
+    sf = sf_small.replace("sf0.001", "sf0.1")
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    got = (toxicity.query(docs, labels).join(labels, "doc_id").join(docs.select("doc_id", "lang"), "doc_id")
+           .where("held_out").collect())
+    for lang in ("de", "en", "es", "fr"):
+        toxic = [r["predicted"] for r in got if r["lang"] == lang and r["toxic"] == 1]
+        assert np.mean(toxic) > 0.8, (lang, sum(toxic), len(toxic))
+    assert sum(r["predicted"] == 1 and r["toxic"] == 0 for r in got) <= 0.01 * len(got)
+
+
+def test_toxicity_stems_and_no_beginnings_of_identity_terms(spark):
+    r = random.Random(3)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(6))
+    rows, labels = [], []
+    for i in range(300):
+        toxic = i % 5 == 0
+        text = [word() for _ in range(40)]
+        for at in (5, 15, 25) if toxic else ():
+            text[at] = "zorkul" + word()      # each form once: no whole word can be learned
+            text[at + 2] = "muslim" + word()  # must not carry a score by its beginning
+        rows.append((i, " ".join(text)))
+        labels.append((i, 1, int(toxic)))
+    model = toxicity.fit(documents(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    assert model.score("some zorkulish talk") > 0.7 > model.score("some muslimish talk")
+    assert not any(t.startswith("mus") and t.endswith("*") and "muslim".startswith(t[:-1]) for t in model.weights)
+
+
 def test_quality_held_out_accuracy(spark, sf_small):
     sf = sf_small.replace("sf0.001", "sf0.01")
     docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
