@@ -9,10 +9,15 @@ blank, so markup says nothing about the language.
 
 Fit: at most ``SAMPLE_DOCS`` documents a language (smallest hashes of doc_id, so
 a source holding a third of all rows gets a third) and ``SAMPLE_CHARS``
-characters of them; this is what the driver and the broadcast hold, times the
-number of languages. Prediction: one narrow pass over whole texts; the automata
-are dense tables and all text runs of a batch are parsed in lockstep by numpy.
-Runs of ``RUN`` characters are parsed on their own, for all languages alike.
+characters of them; this is what the driver holds, times the number of languages.
+Prediction: one narrow pass over whole texts; the automata are dense tables and all
+text runs of a batch are parsed in lockstep by numpy. Runs of ``RUN`` characters are
+parsed on their own, for all languages alike.
+
+The tables go to the workers in shards of at most ``SHARD_BYTES`` (one language at
+least), so what is broadcast has a bound whatever the number of languages. More
+shards mean more passes: each stores its two cheapest languages of every distinct
+text (by two 64-bit hashes), and the cheapest of all shards wins.
 
 Defined results: a null text or one without a letter is ``und`` with score 0;
 ties go to the first language by name; without training text all are ``und``;
@@ -21,22 +26,22 @@ null doc_ids are carried and not learned from; repeated rows give repeated rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass, replace
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from donorlens.llm.common import exactly
+from donorlens.llm.common import exactly, stage
 
 SAMPLE_DOCS = 64
 SAMPLE_CHARS = 20_000
 LETTERS = 96       # classes of the most frequent training letters; others share SPARE classes
 SPARE = 31
 RUN = 256
-MAX_TABLE_BYTES = 512 << 20
+SHARD_BYTES = 256 << 20
 FOLDS, HELD_OUT = 5, 0
 
 
@@ -95,7 +100,10 @@ class Model:
     cost: np.ndarray      # per language, log2 of its training length
 
 
-def fit(samples: dict[str, list[str | None]], sample_chars: int = SAMPLE_CHARS) -> Model | None:
+def fit(samples: dict[str, list[str | None]], sample_chars: int = SAMPLE_CHARS,
+        shard_bytes: int | None = None) -> Iterator[Model]:
+    """The shards, by language name, one made after the other; none without training text."""
+    shard_bytes = SHARD_BYTES if shard_bytes is None else shard_bytes
     texts = {}
     for lang in sorted(samples):
         parts = [c for c in (code_points(t) for t in samples[lang]) if c.any()]
@@ -107,20 +115,26 @@ def fit(samples: dict[str, list[str | None]], sample_chars: int = SAMPLE_CHARS)
         each += short // long if long else 0  # what short documents leave goes to the long ones
         texts[lang] = np.concatenate([np.r_[np.uint32(0), p[:each]] for p in parts])[:sample_chars]
     if not texts:
-        return None
+        return
     seen, counts = np.unique(np.concatenate(list(texts.values())), return_counts=True)
     order = [c for _, c in sorted(zip((-counts).tolist(), seen.tolist())) if c][:LETTERS]
     spare = len(order) + 1
     width = spare + SPARE + 1  # the last class pads runs
     classes = np.zeros(max(order) + 1, dtype=np.int32)
     classes[order] = np.arange(1, len(order) + 1)
-    model = Model(sorted(texts), classes, spare, width, np.zeros(0), np.zeros(0), np.zeros(0))
+    shard = Model([], classes, spare, width, np.zeros(0), np.zeros(0), np.zeros(0))
     tables, roots, base = [], [], 0
-    for lang in model.languages:
-        table = suffix_automaton(_classify(model, texts[lang]).tolist(), width)
+
+    def made() -> Model:
+        cost = np.array([max(1.0, np.log2(len(texts[lang]))) for lang in shard.languages])
+        return replace(shard, step=np.concatenate(tables), roots=np.array(roots), cost=cost)
+
+    for lang in sorted(texts):
+        table = suffix_automaton(_classify(shard, texts[lang]).tolist(), width)
         base_size = len(table) * width
-        if 4 * (base + base_size) > MAX_TABLE_BYTES:
-            raise ValueError("the automata of all languages exceed MAX_TABLE_BYTES; lower SAMPLE_CHARS")
+        if tables and 4 * (base + base_size) > shard_bytes:
+            yield made()
+            shard, tables, roots, base = replace(shard, languages=[]), [], [], 0
         again = np.maximum(table[0], 0)  # a new phrase starts with the symbol that ended the last
         ends = table < 0
         unknown = ends & (table[0] < 0)[None, :]  # occurs nowhere: a phrase of its own behind the one it ends
@@ -132,10 +146,9 @@ def fit(samples: dict[str, list[str | None]], sample_chars: int = SAMPLE_CHARS)
         step = nxt * 4 + ended
         tables.append(step.reshape(-1).astype(np.int32 if 4 * (base + base_size) < 2**31 else np.int64))
         roots.append(base)
+        shard.languages.append(lang)
         base += base_size
-    model.step, model.roots = np.concatenate(tables), np.array(roots)
-    model.cost = np.array([max(1.0, np.log2(len(texts[lang]))) for lang in model.languages])
-    return model
+    yield made()
 
 
 def _classify(model: Model, codes: np.ndarray) -> np.ndarray:
@@ -168,9 +181,8 @@ def phrases(model: Model, docs: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def predict(model: Model | None, texts: list[str | None]) -> list[tuple[str, float]]:
-    if model is None:
-        return [("und", 0.0)] * len(texts)
+def cheapest(model: Model, texts: list[str | None]) -> list[tuple[float | None, str | None, float | None]]:
+    """Per text the least cost, its language and the next cost (None: no letter, or no other language)."""
     codes = [code_points(t) for t in texts]
     found = phrases(model, [_classify(model, c) for c in codes])
     bits = found * model.cost
@@ -178,11 +190,10 @@ def predict(model: Model | None, texts: list[str | None]) -> list[tuple[str, flo
     out = []
     for i, c in enumerate(codes):
         if not c.any():
-            out.append(("und", 0.0))
+            out.append((None, None, None))
             continue
         rest = np.delete(bits[i], best[i])
-        low = bits[i, best[i]]
-        out.append((model.languages[best[i]], float(rest.min() / (rest.min() + low)) if len(rest) else 1.0))
+        out.append((float(bits[i, best[i]]), model.languages[best[i]], float(rest.min()) if len(rest) else None))
     return out
 
 
@@ -204,21 +215,50 @@ def training_sample(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> dict[str
     return out
 
 
-def identify(docs: DataFrame, model: Model | None) -> DataFrame:
-    """doc_id, lang_pred, score; only the text is looked at."""
+def _costs(docs: DataFrame, model: Model, keys: str) -> DataFrame:
+    """``docs`` (key columns, then the text) with the text replaced by low, lang and next."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    names = docs.columns[:-1] + ["low", "lang", "next"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(0, batch.num_rows, 256):
                 part = batch.slice(i, 256)
-                got = predict(shared.value, part.column(1).to_pylist())
+                got = cheapest(shared.value, part.column(part.num_columns - 1).to_pylist())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())],
-                    names=["doc_id", "lang_pred", "score"])
+                    [*part.columns[:-1], pa.array([g[0] for g in got], pa.float64()),
+                     pa.array([g[1] for g in got], pa.string()), pa.array([g[2] for g in got], pa.float64())], names=names)
 
+    return docs.mapInArrow(run, f"{keys}, low double, lang string, next double")
+
+
+def identify(docs: DataFrame, models: Iterable[Model]) -> DataFrame:
+    """doc_id, lang_pred, score; only the text is looked at."""
     texts = exactly(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
-    return texts.mapInArrow(run, "doc_id long, lang_pred string, score double")
+    models = iter(models)
+    model, more = next(models, None), next(models, None)
+    if model is None:
+        found = texts.selectExpr("doc_id", "CAST(NULL AS DOUBLE) AS low", "CAST(NULL AS STRING) AS lang",
+                                 "CAST(NULL AS DOUBLE) AS next")
+    elif more is None:
+        found = _costs(texts, model, "doc_id long")
+    else:
+        keys = ["xxhash64(text) AS h1", "xxhash64('second', text) AS h2"]
+        once, every = ["low", "lang", "next"], None
+        while model is not None:
+            costs = _costs(texts.selectExpr(*keys, "text"), model, "h1 long, h2 long")
+            part = stage(costs.groupBy("h1", "h2").agg(*[F.first(c).alias(c) for c in once]), "language-costs")
+            every = part if every is None else every.union(part)
+            model, more = more, next(models, None)
+        # a row a shard and text; the next cost of all is the winner's next or another shard's least
+        ranked = every.where("lang IS NOT NULL").groupBy("h1", "h2").agg(
+            F.sort_array(F.collect_list(F.struct("low", "lang", "next"))).alias("r"))
+        best = ranked.selectExpr("h1", "h2", "r[0].low AS low", "r[0].lang AS lang",
+                                 "least(r[0].next, get(r, 1).low) AS next")
+        found = texts.selectExpr("doc_id", *keys).join(best, ["h1", "h2"], "left")
+    return found.selectExpr(
+        "doc_id", "coalesce(lang, 'und') AS lang_pred",
+        "CASE WHEN lang IS NULL THEN 0.0D WHEN next IS NULL THEN 1.0D ELSE next / (next + low) END AS score")
 
 
 def query(docs: DataFrame) -> DataFrame:

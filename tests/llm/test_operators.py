@@ -216,6 +216,26 @@ def test_language_held_out_accuracy(spark, sf_small):
     assert np.mean([r["lang"] == r["lang_pred"] for r in got]) > 0.97
 
 
+def test_many_languages(spark):
+    r = random.Random(4)
+    rows = []
+    for k in range(30):  # tables of over 512 MB in all
+        words = ["".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(5)) for _ in range(300)]
+        rows += [(100 * k + i, " ".join(r.choice(words) for _ in range(900)), f"x{k:02}", "web", 1) for i in range(6)]
+    docs = spark.createDataFrame(rows + [(9000, None, "x01", "web", 1), (9001, "12", "x01", "web", 1)], DOCS)
+    got = langid.query(docs.repartition(3)).collect()
+    lang = {d: x for d, t, x, _, _ in rows}
+    assert all(x["lang_pred"] == lang.get(x["doc_id"], "und") for x in got) and len(got) == len(rows) + 2
+
+
+def test_language_shards_change_nothing(spark, sf_small, monkeypatch):
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet")
+    docs = docs.union(docs.limit(5))
+    whole = langid.query(docs).collect()
+    monkeypatch.setattr(langid, "SHARD_BYTES", 1)
+    assert plain(langid.query(docs).collect()) == plain(whole)
+
+
 def test_toxicity_flags_no_clean_document(spark, sf_small):
     sf = sf_small.replace("sf0.001", "sf0.01")
     docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
