@@ -9,7 +9,8 @@ blank, so markup says nothing about the language.
 
 Fit: at most ``SAMPLE_DOCS`` documents a language (smallest hashes of doc_id, so
 a source holding a third of all rows gets a third) and ``SAMPLE_CHARS``
-characters of them; this is what the driver holds, times the number of languages.
+characters of them, in windows from hashed places all over each text (the head of a
+page is often not its own); this is what the driver holds, times the number of languages.
 Prediction: one narrow pass over whole texts; the automata are dense tables and all
 text runs of a batch are parsed in lockstep by numpy. Runs of ``RUN`` characters are
 parsed on their own, for all languages alike.
@@ -32,6 +33,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
 from donorlens.llm.common import exactly, stage
@@ -41,6 +43,7 @@ SAMPLE_CHARS = 20_000
 LETTERS = 96       # classes of the most frequent training letters; others share SPARE classes
 SPARE = 31
 RUN = 256
+WINDOW = 64        # letters in a row that the sample takes of a long text, about
 SHARD_BYTES = 256 << 20
 FOLDS, HELD_OUT = 5, 0
 
@@ -100,6 +103,22 @@ class Model:
     cost: np.ndarray      # per language, log2 of its training length
 
 
+def drawn(codes: np.ndarray, budget: int) -> np.ndarray:
+    """At most ``budget`` characters: the whole text, or one window from a hashed place in each of as many
+    equal stretches as windows fit. A 0 stands before each."""
+    if len(codes) < budget:
+        return np.r_[np.uint32(0), codes]
+    n = max(1, budget // (WINDOW + 1))
+    size = budget // n - 1
+    edges = np.arange(n + 1) * len(codes) // n
+    seed = xxhash.xxh64_intdigest(codes.tobytes())
+    parts = []
+    for i, (a, b) in enumerate(zip(edges.tolist(), edges[1:].tolist())):
+        at = a + xxhash.xxh64_intdigest(i.to_bytes(8, "little"), seed) % max(1, b - a - size + 1)
+        parts += [np.zeros(1, np.uint32), codes[at:at + size]]
+    return np.concatenate(parts)
+
+
 def fit(samples: dict[str, list[str | None]], sample_chars: int = SAMPLE_CHARS,
         shard_bytes: int | None = None) -> Iterator[Model]:
     """The shards, by language name, one made after the other; none without training text."""
@@ -109,11 +128,11 @@ def fit(samples: dict[str, list[str | None]], sample_chars: int = SAMPLE_CHARS,
         parts = [c for c in (code_points(t) for t in samples[lang]) if c.any()]
         if not parts:
             continue
-        each = max(1, sample_chars // len(parts))
-        short = sum(max(0, each - len(p)) for p in parts)
-        long = sum(len(p) > each for p in parts)
+        each = max(2, sample_chars // len(parts))
+        short = sum(max(0, each - 1 - len(p)) for p in parts)
+        long = sum(len(p) >= each for p in parts)
         each += short // long if long else 0  # what short documents leave goes to the long ones
-        texts[lang] = np.concatenate([np.r_[np.uint32(0), p[:each]] for p in parts])[:sample_chars]
+        texts[lang] = np.concatenate([drawn(p, each) for p in parts])[:sample_chars]
     if not texts:
         return
     seen, counts = np.unique(np.concatenate(list(texts.values())), return_counts=True)

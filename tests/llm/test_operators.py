@@ -228,6 +228,16 @@ def test_many_languages(spark):
     assert all(x["lang_pred"] == lang.get(x["doc_id"], "und") for x in got) and len(got) == len(rows) + 2
 
 
+def test_language_sample_is_not_the_head():
+    header = "gemeinsame kopfzeile " * 40
+    own = {"de": "zwölf boxkämpfer jagen viktor ", "fr": "portez ce vieux whisky au juge "}
+    models = list(langid.fit({x: [f"{i} {header}" + t * 60 for i in range(64)] for x, t in own.items()}))
+    assert [g[1] for g in langid.cheapest(models[0], [t * 3 for t in own.values()])] == ["de", "fr"]
+    text = langid.code_points("abcdefghij" * 200)
+    for budget in (2, 64, 65, 66, 312, 1999, 2000, 2001, 5000):
+        assert 0 < len(langid.drawn(text, budget)) <= budget
+
+
 def test_language_shards_change_nothing(spark, sf_small, monkeypatch):
     docs = spark.read.parquet(f"{sf_small}/documents.parquet")
     docs = docs.union(docs.limit(5))
