@@ -221,13 +221,14 @@ def held_out(doc_id) -> "F.Column":
 
 
 def training_sample(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> dict[str, list[str]]:
-    """At most ``sample_docs`` texts a language: ids are ranked without the texts (each task keeps its
-    smallest hashes), then only the chosen documents' texts are read."""
+    """At most ``sample_docs`` texts a language, one a doc_id: ids are ranked without the texts (each task
+    keeps its smallest hashes), then only the chosen documents' texts are read."""
     rows = exactly(docs, "doc_id", "lang").where("doc_id IS NOT NULL AND lang IS NOT NULL").where(~held_out(F.col("doc_id")))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = rows.withColumn("_r", rank).where(F.col("_r") <= sample_docs).select("doc_id").distinct()
-    picked = (exactly(docs, "doc_id", "text", "lang").join(F.broadcast(chosen), "doc_id", "left_semi")
-              .where("lang IS NOT NULL").orderBy(F.xxhash64("doc_id"), "doc_id"))
+    once = rows.groupBy("lang", "doc_id").agg(F.count(F.lit(1)))
+    chosen = once.withColumn("_r", rank).where(F.col("_r") <= sample_docs).select("doc_id", "lang")
+    picked = (exactly(docs, "doc_id", "text", "lang").join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi")
+              .groupBy("doc_id", "lang").agg(F.min("text").alias("text")).orderBy(F.xxhash64("doc_id"), "doc_id"))
     out: dict[str, list[str]] = {}
     for r in picked.collect():  # sample_docs a language
         out.setdefault(r["lang"], []).append(r["text"])

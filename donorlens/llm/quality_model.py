@@ -165,11 +165,12 @@ def held_out(doc_id) -> "F.Column":
 
 
 def _sample(rows: DataFrame, limit: int) -> list:
-    """About ``limit`` rows by hash of doc_id, in a fixed order."""
-    n = rows.count()
+    """About ``limit`` documents by hash of doc_id, one row each, in a fixed order."""
+    n = rows.select("doc_id").distinct().count()
     share = min(1.0, limit / n) if n else 1.0
-    got = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20))).collect()
-    return sorted(got, key=lambda r: (r["doc_id"], r["content"]))
+    chosen = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
+    once = chosen.groupBy("doc_id").agg(F.min(F.struct("content", "meta", "quality")).alias("r")).select("doc_id", "r.*")
+    return sorted(once.collect(), key=lambda r: r["doc_id"])
 
 
 def fit(measured: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: int = POOL) -> Model | None:

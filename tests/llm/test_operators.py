@@ -238,6 +238,16 @@ def test_language_sample_is_not_the_head():
         assert 0 < len(langid.drawn(text, budget)) <= budget
 
 
+def test_samples_hold_one_row_a_document(spark):
+    rows = [(1, f"copy {i}", "en", "web", 1) for i in range(200)] + [(i, f"text {i}", "en", "web", 1) for i in range(2, 40)]
+    docs = spark.createDataFrame(rows, DOCS)
+    free = {d for d, *_ in rows if zlib.crc32(str(d).encode()) % langid.FOLDS != langid.HELD_OUT}
+    assert 1 in free and len(langid.training_sample(docs)["en"]) == len(free)
+    assert len(langid.training_sample(docs, 5)["en"]) == 5
+    marked = quality_model.features(docs).selectExpr("*", "1 AS quality")
+    assert [r["doc_id"] for r in quality_model._sample(marked, 1000)] == list(range(1, 40))
+
+
 def test_language_shards_change_nothing(spark, sf_small, monkeypatch):
     docs = spark.read.parquet(f"{sf_small}/documents.parquet")
     docs = docs.union(docs.limit(5))
