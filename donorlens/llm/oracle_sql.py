@@ -43,3 +43,56 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        (fail_bits & 3) <> 0 AS base_failed, fail_bits = 0 AS kept, fail_bits
 FROM b
 """
+
+
+def _merkle(depth: int = 13) -> str:
+    """Levels and climbs written out one by one: right for up to 3 ** depth rows a source, and sources."""
+
+    def enc(x):
+        return f"CASE WHEN {x} IS NULL THEN '-' ELSE strlen(CAST({x} AS VARCHAR)) || ':' || CAST({x} AS VARCHAR) END"
+
+    def leaf(text):
+        return "sha256(" + " || ".join(enc(x) for x in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+    def tree(t, leaves, start):
+        """Levels t0.. of the trees in ``leaves`` (src, pos, digest), climbs t_c0.. of ``start`` (leaf, src, pos, folded, sib)."""
+        parts = [f"{t}0 AS MATERIALIZED (SELECT src, pos, digest FROM {leaves})", f"{t}_c0 AS MATERIALIZED (SELECT * FROM {start})"]
+        for i in range(depth):
+            parts += [
+                f"{t}_r{i} AS MATERIALIZED (SELECT src, pos // 3 AS b, list(digest ORDER BY pos) AS run, any_value(n) AS n "
+                f"FROM (SELECT *, count(*) OVER (PARTITION BY src) AS n FROM {t}{i}) GROUP BY ALL)",
+                f"{t}{i + 1} AS MATERIALIZED (SELECT src, b AS pos, CASE WHEN n = 1 THEN run[1] "
+                f"ELSE sha256(array_to_string(run, '')) END AS digest FROM {t}_r{i})",
+                f"{t}_c{i + 1} AS MATERIALIZED (SELECT leaf, src, b AS pos, CASE WHEN n = 1 THEN folded "
+                "ELSE sha256(array_to_string(run[1:pos % 3], '') || folded || array_to_string(run[pos % 3 + 2:], '')) END AS folded, "
+                "sib || array_to_string(run[1:pos % 3], '') || array_to_string(run[pos % 3 + 2:], '') AS sib "
+                f"FROM {t}_c{i} JOIN {t}_r{i} USING (src) WHERE b = pos // 3)"]
+        return ",\n".join(parts)
+
+    return f"""
+WITH tab AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k:
+      CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) AS r(i))
+), d AS (
+  SELECT *, coalesce(xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+      lambda ch: CAST(ascii(ch) AS BIGINT))), lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) & 1 = 0, false)
+      AS tampered, row_number() OVER () AS leaf
+  FROM documents, tab
+), h AS MATERIALIZED (
+  SELECT leaf, doc_id, coalesce('s' || source, 'n') AS src, {leaf("text")} AS digest,
+         CASE WHEN tampered THEN {leaf("replace(text, chr(10), '')")} ELSE {leaf("text")} END AS changed FROM d
+), l AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY src ORDER BY doc_id NULLS FIRST, digest) - 1 AS pos FROM h
+), l0 AS (SELECT leaf, src, pos, changed AS folded, '' AS sib FROM l),
+{tree("s", "l", "l0")},
+top AS MATERIALIZED (SELECT 0 AS src, row_number() OVER (ORDER BY encode(src)) - 1 AS pos, digest, src AS name FROM s{depth}),
+top0 AS (SELECT leaf, 0 AS src, top.pos, folded, sib FROM s_c{depth} c JOIN top ON c.src = top.name),
+{tree("r", "top", "top0")}
+SELECT doc_id, l.digest AS leaf, top.digest AS subroot, r{depth}.digest AS root, sha256(sib) AS proof_sha256,
+       folded AS folded_root, folded = r{depth}.digest AS verified
+FROM l JOIN r_c{depth} c ON l.leaf = c.leaf JOIN top ON l.src = top.name, r{depth}
+"""
+
+
+ORACLE_SQL["op12_merkle_manifest"] = _merkle()

@@ -8,7 +8,8 @@ from __future__ import annotations
 import os
 
 from donorlens.llm import (
-    decontaminate, langid, line_dedup, packing, quality_model, quality_rules, simhash, suffix_dedup, token_files, toxicity,
+    decontaminate, langid, line_dedup, merkle_manifest, packing, quality_model, quality_rules, simhash, suffix_dedup,
+    token_files, toxicity,
 )
 from donorlens.llm.common import read_table
 from donorlens.llm.oracle_sql import ORACLE_SQL  # noqa: F401  (re-exported for the entry point)
@@ -64,6 +65,10 @@ def op10_quality_rules(spark, sf_dir):
     return quality_rules.query(read_table(spark, sf_dir, "documents"))
 
 
+def op12_merkle_manifest(spark, sf_dir):
+    return merkle_manifest.query(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -75,4 +80,5 @@ QUERIES = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_toxicity": op9_toxicity,
     "op10_quality_rules": op10_quality_rules,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
