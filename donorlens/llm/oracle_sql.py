@@ -96,3 +96,45 @@ FROM l JOIN r_c{depth} c ON l.leaf = c.leaf JOIN top ON l.src = top.name, r{dept
 
 
 ORACLE_SQL["op12_merkle_manifest"] = _merkle()
+
+
+def _collocations(least: int = 100, longest: int = 5, top: int = 2000) -> str:
+    """All phrases of up to five words counted outright."""
+    grams = " UNION ALL ".join(
+        f"SELECT lang, array_to_string(w[i:i + {k - 1}], ' ') AS phrase, {k} AS k "
+        f"FROM (SELECT lang, w, unnest(range(1, len(w) - {k - 2})) AS i FROM p)" for k in range(1, longest + 1))
+    return rf"""
+WITH p AS MATERIALIZED (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents)
+), f AS MATERIALIZED (
+  SELECT lang, phrase, k, count(*) AS f FROM ({grams}) GROUP BY ALL HAVING count(*) >= {least}
+), n AS (SELECT lang, sum(len(w)) AS n FROM p GROUP BY 1),
+c AS MATERIALIZED (SELECT lang, phrase, k, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1),
+inside AS (
+  SELECT lang, phrase, max(a) AS longer FROM (
+    SELECT lang, a, array_to_string(w[i:i + j - 1], ' ') AS phrase
+    FROM (SELECT *, unnest(range(2, k)) AS j FROM c), LATERAL (SELECT unnest(range(1, k - j + 2)) AS i)) GROUP BY ALL
+), cuts AS (
+  SELECT lang, phrase, a, i, array_to_string(w[1:i], ' ') AS head, array_to_string(w[i + 1:], ' ') AS tail
+  FROM (SELECT *, unnest(range(1, k)) AS i FROM c)
+), s AS (
+  SELECT cuts.lang, cuts.phrase, a, i, l.f AS l, r.f AS r, n,
+         (CAST(1000 AS HUGEINT) * a * n) // (CAST(l.f AS HUGEINT) * r.f) AS score
+  FROM cuts JOIN f l ON l.lang = cuts.lang AND l.phrase = head JOIN f r ON r.lang = cuts.lang AND r.phrase = tail
+  JOIN n ON n.lang = cuts.lang
+), best AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, i) AS first FROM s) WHERE first = 1
+), ranked AS (
+  SELECT best.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank
+  FROM best LEFT JOIN inside USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 100 * a
+)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+       CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked WHERE rank <= {top}
+"""
+
+
+ORACLE_SQL["op13_collocations"] = _collocations()

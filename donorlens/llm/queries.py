@@ -8,7 +8,7 @@ from __future__ import annotations
 import os
 
 from donorlens.llm import (
-    decontaminate, langid, line_dedup, merkle_manifest, packing, quality_model, quality_rules, simhash, suffix_dedup,
+    collocations, decontaminate, langid, line_dedup, merkle_manifest, packing, quality_model, quality_rules, simhash, suffix_dedup,
     token_files, toxicity,
 )
 from donorlens.llm.common import read_table
@@ -69,6 +69,10 @@ def op12_merkle_manifest(spark, sf_dir):
     return merkle_manifest.query(read_table(spark, sf_dir, "documents"))
 
 
+def op13_collocations(spark, sf_dir):
+    return collocations.query(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -81,4 +85,5 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_quality_rules": op10_quality_rules,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_collocations": op13_collocations,
 }
