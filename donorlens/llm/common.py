@@ -36,12 +36,12 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, **options) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: the lineage ends there, so a lost
-    executor costs a re-read, and several consumers share one computation."""
+    executor costs a re-read, and several consumers share one computation. ``options`` go to the writer."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
