@@ -138,3 +138,21 @@ FROM ranked WHERE rank <= {top}
 
 
 ORACLE_SQL["op13_collocations"] = _collocations()
+
+
+# All pairs outright; components by reachability.
+ORACLE_SQL["op11_embedding_near_dedup"] = """
+WITH RECURSIVE v AS MATERIALIZED (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), link AS MATERIALIZED (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+    AND list_cosine_similarity(a.e, b.e) >= 0.95
+), reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a
+), c AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY 1),
+n AS (SELECT a AS vec_id, count(*) AS n FROM link GROUP BY 1)
+SELECT e.vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, c.component_id, e.vec_id = c.component_id AS kept
+FROM embeddings e JOIN c USING (vec_id) LEFT JOIN n USING (vec_id)
+"""

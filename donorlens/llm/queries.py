@@ -8,7 +8,7 @@ from __future__ import annotations
 import os
 
 from donorlens.llm import (
-    collocations, decontaminate, langid, line_dedup, merkle_manifest, packing, quality_model, quality_rules, simhash, suffix_dedup,
+    collocations, cover_tree, decontaminate, langid, line_dedup, merkle_manifest, packing, quality_model, quality_rules, simhash, suffix_dedup,
     token_files, toxicity,
 )
 from donorlens.llm.common import read_table
@@ -65,6 +65,10 @@ def op10_quality_rules(spark, sf_dir):
     return quality_rules.query(read_table(spark, sf_dir, "documents"))
 
 
+def op11_embedding_near_dedup(spark, sf_dir):
+    return cover_tree.query(read_table(spark, sf_dir, "embeddings"))
+
+
 def op12_merkle_manifest(spark, sf_dir):
     return merkle_manifest.query(read_table(spark, sf_dir, "documents"))
 
@@ -84,6 +88,7 @@ QUERIES = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_toxicity": op9_toxicity,
     "op10_quality_rules": op10_quality_rules,
+    "op11_embedding_near_dedup": op11_embedding_near_dedup,
     "op12_merkle_manifest": op12_merkle_manifest,
     "op13_collocations": op13_collocations,
 }
