@@ -33,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  (pa.compute)
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from donorlens.llm.common import exactly, stage
 from donorlens.llm.components import components
@@ -291,7 +291,7 @@ def distinct_vectors(rows: DataFrame) -> DataFrame:
 
 def _assigned(vectors: DataFrame, centres: dict[int, tuple[np.ndarray, np.ndarray]]) -> DataFrame:
     """Adds the nearest centre of the vector's length (-1: the sample has none) and the distance to it."""
-    schema = vectors.select("key", "weight", "dim", "embedding").schema.add("centre", "int").add("gap", "double")
+    schema = vectors.select("key", "weight", "dim", "embedding").schema.add("centre", T.IntegerType()).add("gap", T.DoubleType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -329,7 +329,8 @@ def _by(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.Table]:
 
 def _members(nodes: DataFrame, threshold: float) -> DataFrame:
     """The vectors of every node (node, key, weight, embedding) with their lower tree: row in the node, path. Staged."""
-    schema = nodes.schema.add("row", "int").add("path", "array<int>")
+    schema = T.StructType([*nodes.schema.fields, T.StructField("row", T.IntegerType()),
+                           T.StructField("path", T.ArrayType(T.IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _by(batches, 0):
