@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from donorlens.operators.parties import attribute_spec
-from donorlens.operators.rollup import segment_report
+from donorlens.operators.rollup import amount_column, grouping_report, segment_report
 from donorlens.operators.segments import DEFAULT_MEASURES, DEFAULT_SEGMENTS, Measure, Segment
 from donorlens.sources.tables import ContributionTables
 
@@ -51,6 +51,18 @@ def by_sector_by_party_report(tables: ContributionTables, *, keep_unmatched: boo
                           attributed=F.col("sector").isNotNull() & F.col("party").isNotNull())
 
 
+def sector_totals_and_parties(tables: ContributionTables, *, keep_unmatched: bool = False,
+                              segments: list[Segment] = DEFAULT_SEGMENTS,
+                              measures: list[Measure] = DEFAULT_MEASURES) -> DataFrame:
+    """(breakdown, cycle, sector, party, statistics): per sector its total (party NULL) and its parties,
+    from one pass. A contributor to two parties counts once in the sector; '' is a party; contributions
+    to unknown recipients are in the total only."""
+    facts = attribute_sector(tables, attribute_spec(tables), keep_unmatched=keep_unmatched)
+    report = grouping_report(facts, {"sector": ["cycle", "sector"], "party": ["cycle", "sector", "party"]},
+                             segments=segments, measures=measures)
+    return report.withColumnRenamed("grouping", "breakdown")
+
+
 def by_sector_pivot(tables: ContributionTables, party_labels: dict[str, str], *,
                     keep_unmatched: bool = False) -> DataFrame:
     """(cycle, sector, {label}_TotalAmountDonated, {label}_TotalContributorSize per party).
@@ -66,7 +78,7 @@ def by_sector_pivot(tables: ContributionTables, party_labels: dict[str, str], *,
         label = F.when(cond, F.lit(name)) if label is None else label.when(cond, F.lit(name))
     facts = facts.withColumn("_label", label).where(F.col("sector").isNotNull() & F.col("_label").isNotNull())
     per_contributor = (facts.groupBy("cycle", "sector", "_label", "contributor_id")
-                       .agg(F.sum("amount").alias("_t")))
+                       .agg(F.sum(amount_column(facts)).alias("_t")))
     labels = list(party_labels.values())
     wide = (per_contributor.groupBy("cycle", "sector").pivot("_label", labels)
             .agg(F.coalesce(F.sum("_t"), F.lit(0)).cast("long").alias("TotalAmountDonated"),

@@ -24,6 +24,11 @@ first cycle in ``spec`` mode. Callers mark report rows with a boolean
 ``attributed`` column; the others are folded into one level-1 row per
 contributor and cycle and dropped before level 2.
 
+Pre-aggregated facts: ``pre_aggregate`` folds the contributions by any columns a report reads
+(contributor, cycle, recipient, code, ...) into rows that hold the same numbers as states. Every
+function here takes such rows for contributions: level 1 then merges states, so dimension joins
+between the two see aggregated rows only, and one stored copy serves several reports.
+
 ``as_coded`` mode reproduces the original job: the first cycle and the
 size band are computed inside each report group.
 """
@@ -32,18 +37,50 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from donorlens.operators.segments import DEFAULT_MEASURES, DEFAULT_SEGMENTS, Measure, Segment
+from donorlens.operators.segments import DEFAULT_MEASURES, DEFAULT_SEGMENTS, Segment, StateMeasure, states_of
 
 ATTRIBUTED = "_attributed"
 MODES = ("spec", "as_coded")
 
 
-def _row_segment_columns(i: int) -> tuple[str, str, str]:
-    return f"_t{i}", f"_n{i}", f"_r{i}"
+def state_columns(segments, measures):
+    """(column, state, row condition or None) of every state, for all rows and per row-level segment."""
+    states = states_of(measures)
+    out = [(f"_{s.name}", s, None) for s in states]
+    for i, seg in enumerate(segments):
+        if seg.kind == "row":
+            out += [(f"_{s.name}{i}", s, seg.condition) for s in states]
+    return out
+
+
+def is_pre_aggregated(facts: DataFrame) -> bool:
+    return "_t" in facts.columns
+
+
+def amount_column(facts: DataFrame) -> str:
+    """The column whose sum is the amount, of contributions or of pre-aggregated rows."""
+    return "_t" if is_pre_aggregated(facts) else "amount"
+
+
+def state_aggregates(rows: DataFrame, segments, measures) -> list[Column]:
+    """Aggregates that build the states from contributions, or merge those of pre-aggregated rows."""
+    columns = state_columns(segments, measures)
+    if is_pre_aggregated(rows):
+        if missing := [c for c, _, _ in columns if c not in rows.columns]:
+            raise ValueError(f"pre-aggregated for other segments or measures: no {missing}")
+        return [s.merge(F.col(c)).alias(c) for c, s, _ in columns]
+    return [s.update(s.value() if cond is None else F.when(cond(), s.value())).alias(c) for c, s, cond in columns]
+
+
+def pre_aggregate(facts: DataFrame, by: list[str], *, segments: list[Segment] = DEFAULT_SEGMENTS,
+                  measures: list = DEFAULT_MEASURES) -> DataFrame:
+    """One row per value of ``by`` with the states of its contributions (combined map-side)."""
+    return facts.groupBy(*by).agg(*state_aggregates(facts, segments, measures))
 
 
 def contributor_rollup(facts: DataFrame, keys: list[str], *, mode: str = "spec",
                        segments: list[Segment] = DEFAULT_SEGMENTS,
+                       measures: list = DEFAULT_MEASURES,
                        attributed: Column | None = None,
                        carry_max: list[str] | None = None) -> DataFrame:
     """Level 1 plus contributor columns. One row per (keys, contributor) in a report group."""
@@ -61,14 +98,7 @@ def contributor_rollup(facts: DataFrame, keys: list[str], *, mode: str = "spec",
     rows = facts.select(*[c for c in facts.columns if c not in keys and c != ATTRIBUTED],
                         *key_cols, *flag_cols)
 
-    amount = F.col("amount")
-    aggs = [F.sum(amount).alias("_t"), F.count(amount).alias("_n"), F.count(F.lit(1)).alias("_r")]
-    for i, seg in enumerate(segments):
-        if seg.kind == "row":
-            t, n, r = _row_segment_columns(i)
-            pred = seg.condition()
-            aggs += [F.sum(F.when(pred, amount)).alias(t), F.count(F.when(pred, amount)).alias(n),
-                     F.count(F.when(pred, F.lit(1))).alias(r)]
+    aggs = state_aggregates(rows, segments, measures)
     for c in carry_max or []:
         aggs.append(F.max(c).alias(c))
 
@@ -93,22 +123,27 @@ def contributor_rollup(facts: DataFrame, keys: list[str], *, mode: str = "spec",
 
 def aggregate_segments(rollup: DataFrame, keys: list[str], *,
                        segments: list[Segment] = DEFAULT_SEGMENTS,
-                       measures: list[Measure] = DEFAULT_MEASURES,
+                       measures: list = DEFAULT_MEASURES,
                        carry_max: list[str] | None = None) -> DataFrame:
     """Level 2: keys + one column per (segment, measure), in segment-major order."""
     aggs, names = [], []
     for i, seg in enumerate(segments):
-        if seg.kind == "all":
-            t, n, present = F.col("_t"), F.col("_n"), F.col("_r") > 0
-        elif seg.kind == "row":
-            tc, nc, rc = _row_segment_columns(i)
-            t, n, present = F.col(tc), F.col(nc), F.col(rc) > 0
-        else:
-            pred = F.coalesce(seg.condition(), F.lit(False))
-            t, n, present = F.when(pred, F.col("_t")), F.when(pred, F.col("_n")), pred & (F.col("_r") > 0)
+        suffix = str(i) if seg.kind == "row" else ""
+        pred = F.coalesce(seg.condition(), F.lit(False)) if seg.kind == "contributor" else None
+
+        def state(name, suffix=suffix, pred=pred):
+            c = F.col(f"_{name}{suffix}")
+            return c if pred is None else F.when(pred, c)
+
+        present = F.col(f"_r{suffix}") > 0
+        present = present if pred is None else pred & present
         for m in measures:
             name = m.name(seg.label)
-            aggs.append(m.fn(t, n, present).alias(name))
+            if isinstance(m, StateMeasure):
+                value = m.finish(*[s.merge(state(s.name)) for s in m.states])
+            else:
+                value = m.fn(state("t"), state("n"), present)
+            aggs.append(value.alias(name))
             names.append(name)
     for c in carry_max or []:
         aggs.append(F.max(c).alias(c))
@@ -118,10 +153,46 @@ def aggregate_segments(rollup: DataFrame, keys: list[str], *,
 
 def segment_report(facts: DataFrame, keys: list[str], *, mode: str = "spec",
                    segments: list[Segment] = DEFAULT_SEGMENTS,
-                   measures: list[Measure] = DEFAULT_MEASURES,
+                   measures: list = DEFAULT_MEASURES,
                    attributed: Column | None = None,
                    carry_max: list[str] | None = None) -> DataFrame:
     """keys + segments x measures over ``facts`` (one lazy plan, no action)."""
-    rollup = contributor_rollup(facts, keys, mode=mode, segments=segments,
+    rollup = contributor_rollup(facts, keys, mode=mode, segments=segments, measures=measures,
                                 attributed=attributed, carry_max=carry_max)
     return aggregate_segments(rollup, keys, segments=segments, measures=measures, carry_max=carry_max)
+
+
+def grouping_report(facts: DataFrame, sets: dict[str, list[str]], *,
+                    segments: list[Segment] = DEFAULT_SEGMENTS, measures: list = DEFAULT_MEASURES) -> DataFrame:
+    """Several report groupings of one fact pass: (grouping, all key columns, statistics).
+
+    ``sets`` maps a label to its key columns, ``cycle`` among them. A row's ``grouping`` is the label;
+    keys outside its set are NULL. A contribution whose key is NULL is in none of the sets with
+    that key, but its contributor's totals and first cycle count it. Spec mode.
+
+    Level 1 groups the facts once by all keys and the contributor; the grouping sets are taken over
+    these contributor-level rows, so a contributor with several values of a finer key is one row of the
+    coarser set and counts once there. An empty text is a value: sets are told apart by
+    ``grouping_id``, never by NULL.
+    """
+    if bad := [label for label, keys in sets.items() if "cycle" not in keys]:
+        raise ValueError(f"every report is per cycle: {bad}")
+    keys = ["cycle", *dict.fromkeys(k for s in sets.values() for k in s if k != "cycle")]
+    level1 = facts.groupBy(*keys, "contributor_id").agg(*state_aggregates(facts, segments, measures))
+    level1 = level1.withColumns({
+        "first_cycle": F.min("cycle").over(Window.partitionBy("contributor_id")),
+        "cycle_total": F.sum("_t").over(Window.partitionBy("contributor_id", "cycle"))})
+    columns = [*keys, "contributor_id"]
+    merged = level1.groupingSets([[*s, "contributor_id"] for s in sets.values()], *columns).agg(
+        F.grouping_id().alias("_set"), *state_aggregates(level1, segments, measures),
+        F.max("first_cycle").alias("first_cycle"), F.max("cycle_total").alias("cycle_total"))
+    label = F.lit(None)
+    for name, own in sets.items():
+        number = sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in (*own, "contributor_id"))
+        inside = F.col("_set") == number
+        for k in own:
+            if k != "cycle":
+                inside = inside & F.col(k).isNotNull()
+        label = F.when(inside, F.lit(name)).otherwise(label)
+    rows = merged.withColumn("grouping", label).where(F.col("grouping").isNotNull())
+    return aggregate_segments(rows, ["grouping", *keys], segments=segments, measures=measures)

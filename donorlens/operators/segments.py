@@ -56,6 +56,75 @@ class Measure:
         return self.pattern.format(label)
 
 
+@dataclass(frozen=True)
+class State:
+    """What a measure keeps per contributor and report group, so that groups can be merged.
+
+    ``value()`` is the row value, ``update`` the aggregate that turns row values (NULL outside the
+    segment) into the state, ``merge`` the aggregate that turns states into one. Both skip NULL.
+    """
+
+    name: str
+    value: Callable[[], Column]
+    update: Callable[[Column], Column]
+    merge: Callable[[Column], Column]
+
+
+# Kept for every report: sum of amounts, number of amounts, number of rows.
+BASE_STATES = (
+    State("t", lambda: F.col("amount"), F.sum, F.sum),
+    State("n", lambda: F.col("amount"), F.count, F.sum),
+    State("r", lambda: F.lit(1), F.count, F.sum),
+)
+
+
+@dataclass(frozen=True)
+class StateMeasure:
+    """A measure with states of its own: ``finish(*merged states) -> Column`` over the whole segment."""
+
+    pattern: str
+    states: tuple[State, ...]
+    finish: Callable[..., Column]
+
+    def __post_init__(self):
+        taken = {s.name for s in BASE_STATES}
+        if bad := [s.name for s in self.states if s.name in taken or not s.name.isalpha()]:
+            raise ValueError(f"state names {bad}: letters only, none of {sorted(taken)}")
+
+    def name(self, label: str) -> str:
+        return self.pattern.format(label)
+
+
+def states_of(measures) -> list[State]:
+    """The states that ``measures`` need, each once; two measures may share a state."""
+    out = {s.name: s for s in BASE_STATES}
+    for m in measures:
+        for s in getattr(m, "states", ()):
+            if out.setdefault(s.name, s) is not s:
+                raise ValueError(f"two different states are called {s.name!r}")
+    return list(out.values())
+
+
+LARGEST = State("largest", lambda: F.col("amount"), F.max, F.max)
+SQUARES = State("squares", lambda: F.col("amount").cast("decimal(20,0)") * F.col("amount").cast("decimal(18,0)"), F.sum, F.sum)
+
+
+def largest_gift(pattern: str = "Largest{}AmountDonated") -> StateMeasure:
+    """The largest single contribution; 0 for an empty segment."""
+    return StateMeasure(pattern, (LARGEST,), zero_if_null)
+
+
+def sum_of_squares(pattern: str = "Squared{}AmountDonated") -> StateMeasure:
+    """Sum of squared contributions (with total and count: the variance); 0 for an empty segment."""
+    return StateMeasure(pattern, (SQUARES,), zero_if_null)
+
+
+def quantile(q: float, pattern: str) -> StateMeasure:
+    """An approximate quantile of the contributions by mergeable KLL sketches; NULL for an empty segment."""
+    sketch = State("sketch", lambda: F.col("amount").cast("long"), F.kll_sketch_agg_bigint, F.kll_merge_agg_bigint)
+    return StateMeasure(pattern, (sketch,), lambda s: F.kll_sketch_get_quantile_bigint(s, F.lit(q)))
+
+
 def gender_segment(label: str, code: str) -> Segment:
     return Segment(label, "row", lambda: F.col("gender") == F.lit(code))
 

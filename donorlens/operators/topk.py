@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from donorlens.functions.expressions import is_candidate, is_committee
 from donorlens.operators.parties import candidate_parties, committee_dimension
-from donorlens.operators.rollup import segment_report
+from donorlens.operators.rollup import amount_column, segment_report
 from donorlens.operators.segments import DEFAULT_MEASURES, DEFAULT_SEGMENTS, Measure, Segment
 from donorlens.sources.tables import ContributionTables
 
@@ -42,12 +42,12 @@ def top_recipients(facts: DataFrame, id_expr: Column, id_col: str, k: int) -> Da
     # No filter on the id before ranking: on a grouping key it would be pushed
     # into the fact scan, make this scan differ from the tagging scan, and stop
     # Spark from sharing the fact shuffle between the two.
-    raised = (facts.select("cycle", id_expr.alias(id_col), "amount")
+    raised = (facts.select("cycle", id_expr.alias(id_col), F.col(amount_column(facts)).alias("amount"))
               .groupBy("cycle", id_col).agg(F.sum("amount").alias("raised")))
     return rank_per_cycle(raised, id_col, k)
 
 
-def _tag_top(facts: DataFrame, id_expr: Column, top: DataFrame, id_col: str) -> DataFrame:
+def tag_top(facts: DataFrame, id_expr: Column, top: DataFrame, id_col: str) -> DataFrame:
     """Contributions with ``id_col`` set where they go to a top recipient of their cycle."""
     tags = F.broadcast(top.select(F.col("cycle").alias("_tc"), F.col(id_col).alias("_tid")))
     tagged = facts.withColumn("_id", id_expr)
@@ -67,7 +67,7 @@ def _top_report(facts: DataFrame, id_expr: Column, id_col: str, k: int, dimensio
     """
     top = top_recipients(facts, id_expr, id_col, k).select("cycle", id_col, "rank")
     ranked = top.join(dimension, dim_on, "left")
-    tagged = _tag_top(facts, id_expr, ranked, id_col)
+    tagged = tag_top(facts, id_expr, ranked, id_col)
     stats = segment_report(tagged, ["cycle", id_col], segments=segments, measures=measures,
                            attributed=F.col(id_col).isNotNull())
     return stats.join(F.broadcast(ranked), ["cycle", id_col])
@@ -116,4 +116,4 @@ def top_committees_report(tables: ContributionTables, *, k: int = 20, attributio
 
 
 __all__ = ["rank_per_cycle", "top_recipients", "top_candidates_report", "top_committees_report",
-           "committee_expr"]
+           "committee_expr", "tag_top"]

@@ -308,3 +308,49 @@ ORACLE_SQL["csv_roundtrip"] = with_() + """SELECT cycle,
   state, zip, gender, CAST(count(*) AS BIGINT) AS contributions, CAST(sum(amount) AS BIGINT) AS amount,
   min("date") AS first_date, max(recipient_id) AS last_recipient
 FROM contributions GROUP BY ALL"""
+
+# -- folded, stored and multi-level reports: the same definitions, computed the plain way
+
+ORACLE_SQL["report_by_cycle_by_party_folded"] = ORACLE_SQL["report_by_cycle_by_party"]
+ORACLE_SQL["report_by_sector_by_party_folded"] = ORACLE_SQL["report_by_sector_by_party"]
+ORACLE_SQL["report_by_cycle_bucketed"] = ORACLE_SQL["report_by_cycle"]
+
+ORACLE_SQL["report_sector_totals_and_parties"] = with_(_F, _ATT, _SEC) + f"""
+SELECT 'sector' AS breakdown, cycle, sector, NULL AS party, {stats()}
+FROM att JOIN sec ON att.real_code = sec.category_code GROUP BY cycle, sector
+UNION ALL
+SELECT 'party', cycle, sector, party, {stats()}
+FROM att JOIN sec ON att.real_code = sec.category_code WHERE party IS NOT NULL GROUP BY cycle, sector, party"""
+
+
+def _measures(label: str, cond: str) -> str:
+    return (f"CAST(coalesce(sum(amount) FILTER (WHERE {cond}), 0) AS BIGINT) AS Total{label}AmountDonated, "
+            f"CAST(coalesce(max(amount) FILTER (WHERE {cond}), 0) AS BIGINT) AS Largest{label}AmountDonated, "
+            f"CAST(coalesce(sum(CAST(amount AS HUGEINT) * amount) FILTER (WHERE {cond}), 0) AS BIGINT) AS Squared{label}AmountDonated")
+
+
+ORACLE_SQL["report_custom_measures"] = with_(_F, _ATT) + f"""SELECT cycle, party, {_measures("", "TRUE")},
+  {_measures("Refund", "amount < 0")}, {_measures("Repeat", "cycle > first_cycle")}
+FROM att WHERE party IS NOT NULL GROUP BY cycle, party"""
+
+
+def _all_reports() -> str:
+    def part(name, keys, where="TRUE", source="att LEFT JOIN sec ON att.real_code = sec.category_code"):
+        shown = [c if c in keys else f"CAST(NULL AS VARCHAR) AS {c}" for c in ("party", "sector")]
+        return (f"SELECT '{name}' AS report, cycle, CAST(NULL AS INTEGER) AS rank, {', '.join(shown)}, "
+                f"CAST(NULL AS VARCHAR) AS recipient, {stats()} FROM {source} WHERE {where} GROUP BY {', '.join(keys)}")
+
+    def top(name, report, id_col):
+        return (f"SELECT '{name}', cycle, rank, party, NULL, {id_col}, {stat_names()} FROM ({ORACLE_SQL[report]})")
+
+    return with_(_F, _ATT, _SEC) + " UNION ALL ".join([
+        part("by_cycle", ["cycle"]),
+        part("by_cycle_by_party", ["cycle", "party"], "party IS NOT NULL"),
+        top("top_candidates_by_cycle", "report_top_candidates", "cid"),
+        top("top_committees_by_cycle", "report_top_committees", "committee_id"),
+        part("by_sector_by_cycle", ["cycle", "sector"], "sector IS NOT NULL"),
+        part("by_sector_by_party_by_cycle", ["cycle", "sector", "party"], "sector IS NOT NULL AND party IS NOT NULL"),
+    ])
+
+
+ORACLE_SQL["all_reports"] = _all_reports()

@@ -13,7 +13,8 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from donorlens.operators import basic, industry, parties
-from donorlens.plans import checks, reports
+from donorlens.operators.segments import DEFAULT_MEASURES, Segment, largest_gift, sum_of_squares
+from donorlens.plans import checks, reports, shared
 from donorlens.session import scratch_path
 from donorlens.sources.files import read_csv_dir, write_csv_dir
 from donorlens.sources.star import load_star_tables
@@ -59,6 +60,17 @@ def _key_violations(t: ContributionTables) -> DataFrame:
     })
 
 
+def _all_reports(t: ContributionTables) -> DataFrame:
+    """The six reports from one stored, folded copy of the contributions, in long form."""
+    return shared.long_form(shared.all_reports(shared.store(shared.fold(t))))
+
+
+def _custom_measures(t: ContributionTables) -> DataFrame:
+    """By party and cycle: largest gift, sum of squares and total, over three custom segments."""
+    segments = [Segment("", "all"), Segment("Refund", "row", "amount < 0"), Segment("Repeat", "contributor", "cycle > first_cycle")]
+    return reports.by_cycle_by_party(t, segments=segments, measures=[DEFAULT_MEASURES[0], largest_gift(), sum_of_squares()])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # building blocks
     "distinct_cycles": _q(lambda t: basic.distinct_values(t.contributions, "cycle")),
@@ -84,6 +96,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "report_by_sector": _q(lambda t: reports.by_sector(t)),
     "report_by_sector_keep_unmatched": _q(lambda t: reports.by_sector(t, keep_unmatched=True)),
     "report_by_sector_by_party": _q(lambda t: reports.by_sector_by_party(t)),
+    "report_sector_totals_and_parties": _q(lambda t: reports.sector_totals_and_parties(t)),
+    "report_custom_measures": _q(_custom_measures),
+    # folded and stored contributions
+    "all_reports": _q(_all_reports),
+    "report_by_cycle_by_party_folded": _q(lambda t: reports.by_cycle_by_party(
+        shared.fold(t, ["contributor_id", "cycle", "recipient_id"]))),
+    "report_by_sector_by_party_folded": _q(lambda t: reports.by_sector_by_party(
+        shared.fold(t, ["contributor_id", "cycle", "recipient_id", "real_code"]))),
+    "report_by_cycle_bucketed": _q(lambda t: reports.by_cycle(shared.store(shared.fold(t), buckets=8))),
     "report_by_sector_pivot": _q(lambda t: reports.by_sector_pivot(t, industry.party_labels(t))),
     # quality
     "unmatched_recipients": _q(parties.unmatched_recipients),

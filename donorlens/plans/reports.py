@@ -74,6 +74,14 @@ def by_sector_by_party(tables: ContributionTables, *, keep_unmatched: bool = Fal
                                               segments=segments, measures=measures)
 
 
+def sector_totals_and_parties(tables: ContributionTables, *, keep_unmatched: bool = False,
+                              segments: list[Segment] = DEFAULT_SEGMENTS,
+                              measures: list[Measure] = DEFAULT_MEASURES) -> DataFrame:
+    """REP-5: sector totals and their party breakdown in one report, one row per (cycle, sector) and
+    per (cycle, sector, party)."""
+    return industry.sector_totals_and_parties(tables, keep_unmatched=keep_unmatched, segments=segments, measures=measures)
+
+
 def by_sector_pivot(tables: ContributionTables, party_labels: dict[str, str], *,
                     keep_unmatched: bool = False) -> DataFrame:
     """REP-5 party breakdown, wide form: amount and contributors per party as columns."""
