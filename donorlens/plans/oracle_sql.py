@@ -354,3 +354,36 @@ def _all_reports() -> str:
 
 
 ORACLE_SQL["all_reports"] = _all_reports()
+
+_PARTY_STATS = f"SELECT cycle, party,\n  {stats()}\nFROM {{}} WHERE party IS NOT NULL AND {{}} GROUP BY cycle, party"
+
+# the latest cycle comes from the larger gifts alone: totals and first cycles, too
+ORACLE_SQL["keyed_replace"] = with_(_F, _ATT, """
+g AS (SELECT *, min(cycle) OVER (PARTITION BY contributor_id) AS first_cycle,
+             sum(amount) OVER (PARTITION BY contributor_id, cycle) AS cycle_total FROM contributions WHERE amount >= 10),
+large AS (
+  SELECT g.*, coalesce(cand.party, comm.party) AS party FROM g
+  LEFT JOIN cand ON g.recipient_id = cand.cid AND g.cycle = cand.cycle
+  LEFT JOIN comm ON g.recipient_id = comm.committee_id
+),
+latest AS (SELECT max(cycle) AS c FROM contributions)""") + (
+    _PARTY_STATS.format("att, latest", "cycle < c") + "\nUNION ALL\n" + _PARTY_STATS.format("large, latest", "cycle = c"))
+
+ORACLE_SQL["snapshot_refresh"] = with_() + """
+SELECT 'extracted' AS step, false AS reused, false AS refused, CAST(count(*) AS BIGINT) AS rows,
+       CAST(coalesce(sum(amount), 0) AS BIGINT) AS amount FROM contributions
+UNION ALL SELECT 'read again', true, false, CAST(count(*) AS BIGINT), CAST(coalesce(sum(amount), 0) AS BIGINT) FROM contributions
+UNION ALL SELECT 'source changed', false, true, CAST(count(*) + count(*) FILTER (WHERE amount < 0) AS BIGINT),
+       CAST(coalesce(sum(amount), 0) + coalesce(sum(amount) FILTER (WHERE amount < 0), 0) AS BIGINT) FROM contributions"""
+
+ORACLE_SQL["load_rejects"] = with_() + " UNION ALL ".join([
+    *(f"SELECT '{table}' AS table_name, '{metric}' AS metric, CAST({value} AS BIGINT) AS value FROM {table}"
+      for table, metrics in [
+          ("candidates", {"rows": "count(*)", "cycle_rejects": "0 * count(*)", "record_rejects": "0 * count(*)"}),
+          ("committees", {"rows": "count(*)", "record_rejects": "0 * count(*)"}),
+          ("industry_codes", {"rows": "count(*)", "id_rejects": "0 * count(*)", "record_rejects": "0 * count(*)"})]
+      for metric, value in metrics.items()),
+    *(f"SELECT 'individual_contributions', '{metric}', CAST({value} AS BIGINT) FROM contributions" for metric, value in [
+        ("rows", "count(*)"), ("cycle_rejects", "0 * count(*)"), ("date_rejects", "count(*) FILTER (WHERE abs(amount) % 3 = 0)"),
+        ("amount_rejects", "count(*) FILTER (WHERE abs(amount) % 5 = 0)"),
+        ("record_rejects", "count(*) FILTER (WHERE abs(amount) % 7 = 0)")])])

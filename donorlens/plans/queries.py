@@ -16,7 +16,9 @@ from donorlens.operators import basic, industry, parties
 from donorlens.operators.segments import DEFAULT_MEASURES, Segment, largest_gift, sum_of_squares
 from donorlens.plans import checks, reports, shared
 from donorlens.session import scratch_path
-from donorlens.sources.files import read_csv_dir, write_csv_dir
+from donorlens.sinks import keyed
+from donorlens.sources import load, snapshots
+from donorlens.sources.files import read_csv_dir, read_parquet_dir, table_path, write_csv_dir
 from donorlens.sources.star import load_star_tables
 from donorlens.sources.tables import ContributionTables, normalise_tables
 
@@ -49,6 +51,68 @@ def _csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.min("date").alias("first_date"), F.max("recipient_id").alias("last_recipient"))
 
 
+def _load_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load a CSV extract with bad values and short records and report what the load counted.
+
+    By the amount: every fifth amount is no number, every third date no date, every seventh record
+    lacks its last field.
+    """
+    folder = scratch_path(spark, f"rejects-{uuid.uuid4().hex}")
+    tables = tables_for(spark, sf_dir)
+    write_csv_dir(tables, folder)
+    lines = ("concat_ws(',', contributor_id, cycle, recipient_id, IF(abs(amount) % 3 = 0, 'some day', CAST(date AS STRING)), "
+             "IF(abs(amount) % 5 = 0, 'n/a', CAST(amount AS STRING)), real_code, committee_id, other_id, gender, "
+             "concat('\"', city, '\"'), state) || IF(abs(amount) % 7 = 0, '', ',' || zip)")
+    tables.contributions.select(F.expr(lines).alias("value")).write.mode("overwrite").text(
+        table_path(folder, "individual_contributions"))
+    loaded = load.store_loaded(load.raw_csv_dir(spark, folder), f"{folder}-loaded")
+    return load.load_report(spark, loaded.counts)
+
+
+def _snapshot_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Extract, read again, change the source, see the copy refused, extract anew; (step, reused,
+    refused, rows, amount) of the copy after each step."""
+    folder = scratch_path(spark, f"snapshot-{uuid.uuid4().hex}")
+    tables = tables_for(spark, sf_dir)
+    source = f"{folder}/source"
+    for name, df in tables.items():
+        df.write.parquet(table_path(source, name, ".parquet"))
+    steps = []
+
+    def step(name: str) -> None:
+        read = read_parquet_dir(spark, source)
+        refused = False
+        try:
+            snapshots.open_snapshot(read, f"{folder}/copy")
+        except snapshots.StaleSnapshotError:
+            refused = True
+        except FileNotFoundError:
+            pass
+        copy = snapshots.refresh_snapshot(read, f"{folder}/copy")
+        counted = copy.rows["individual_contributions"]
+        steps.append(copy.tables.contributions.agg(F.coalesce(F.sum("amount"), F.lit(0)).cast("long").alias("amount")).select(
+            F.lit(name).alias("step"), F.lit(copy.reused).alias("reused"), F.lit(refused).alias("refused"),
+            F.lit(counted).cast("long").alias("rows"), "amount"))
+
+    step("extracted")
+    step("read again")
+    # refunds are added to the source
+    tables.contributions.where("amount < 0").write.mode("append").parquet(table_path(source, "individual_contributions", ".parquet"))
+    step("source changed")
+    return steps[0].unionByName(steps[1]).unionByName(steps[2])
+
+
+def _keyed_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the party report, rewrite its latest cycle from gifts of 10 and more, read it back."""
+    path = scratch_path(spark, f"keyed-{uuid.uuid4().hex}")
+    tables = tables_for(spark, sf_dir)
+    keyed.replace_groups(reports.by_cycle_by_party(tables), path, ["cycle", "party"])
+    latest = tables.contributions.agg(F.max("cycle")).first()[0]
+    larger = tables.with_contributions(tables.contributions.where("amount >= 10"))
+    again = reports.by_cycle_by_party(larger).where(F.col("cycle") == latest)
+    return keyed.replace_groups(again, path, ["cycle", "party"])
+
+
 def _key_violations(t: ContributionTables) -> DataFrame:
     """Keys one might take for unique in the inputs, and how many of their values repeat."""
     return checks.key_violation_summary({
@@ -112,6 +176,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dimension_conflicts": _q(checks.dimension_conflicts),
     "load_profile": _q(checks.load_profile),
     "lenient_dates": _q(lambda t: basic.date_parse_profile(t.contributions)),
-    # sources
+    # sources and sinks
     "csv_roundtrip": _csv_roundtrip,
+    "load_rejects": _load_rejects,
+    "snapshot_refresh": _snapshot_refresh,
+    "keyed_replace": _keyed_replace,
 }

@@ -95,15 +95,21 @@ def normalise_tables(tables: ContributionTables, *, strict: bool = False) -> Con
     return tables.map(lambda name, df: normalise(df, TABLE_SCHEMAS[name], strict=strict))
 
 
-def rejects(raw: DataFrame, schema: T.StructType, *more) -> DataFrame:
-    """One row: count of non-empty raw values per typed column that the load turns into NULL."""
-    aggs = list(more)
+def reject_aggregates(raw: DataFrame, schema: T.StructType) -> list:
+    """Per typed column, the count of non-empty raw values that the load turns into NULL."""
+    aggs = []
     for field in schema.fields:
         source = raw.schema[field.name].dataType
         if not isinstance(field.dataType, T.StringType) and source != field.dataType:
             c = F.col(field.name)
             bad = _rejected(c, source, _typed(c, source, field.dataType))
             aggs.append(F.count(F.when(bad, 1)).alias(f"{field.name}_rejects"))
+    return aggs
+
+
+def rejects(raw: DataFrame, schema: T.StructType, *more) -> DataFrame:
+    """One row: count of non-empty raw values per typed column that the load turns into NULL."""
+    aggs = [*more, *reject_aggregates(raw, schema)]
     if not aggs:
         aggs = [F.lit(0).cast("long").alias("rejects")]
     return raw.agg(*aggs)
