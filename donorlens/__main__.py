@@ -5,17 +5,20 @@
     python -m donorlens --jdbc-source --jdbc-url URL ... --cycle-bounds 1990 2020 --out DIR
 
 Reports: by_cycle, by_cycle_by_party, top_candidates_by_cycle,
-top_committees_by_cycle, by_sector_by_cycle, by_sector_by_party_by_cycle.
+top_committees_by_cycle, by_sector_by_cycle, by_sector_by_party_by_cycle. With files as the source,
+``load_report`` goes with them: row counts and rejected values per table.
 """
 
 from __future__ import annotations
 
 import argparse
 import os
+import uuid
 
-from donorlens.plans import reports
-from donorlens.session import build_session
+from donorlens.plans import reports, shared
+from donorlens.session import build_session, scratch_path
 from donorlens.sinks.writers import run_reports, write_files, write_jdbc
+from donorlens.sources import load
 
 
 def parse_args(argv=None):
@@ -47,12 +50,12 @@ def main(argv=None, spark=None):
         raise SystemExit("give --out and/or --jdbc-url")
     spark = spark or build_session(args.master, shuffle_partitions=args.partitions)
     props = {k: v for k, v in (("user", args.jdbc_user), ("password", args.jdbc_password)) if v}
-    if args.csv_dir:
-        from donorlens.sources.files import read_csv_dir
-        tables = read_csv_dir(spark, args.csv_dir, strict=args.strict)
-    elif args.parquet_dir:
-        from donorlens.sources.files import read_parquet_dir
-        tables = read_parquet_dir(spark, args.parquet_dir, strict=args.strict)
+    loaded = None
+    if args.csv_dir or args.parquet_dir:
+        # typed and stored once; the same pass counts what the load rejected
+        raw = load.raw_csv_dir(spark, args.csv_dir) if args.csv_dir else load.raw_parquet_dir(spark, args.parquet_dir)
+        loaded = load.store_loaded(raw, scratch_path(spark, f"loaded-{uuid.uuid4().hex}"), strict=args.strict)
+        tables = loaded.tables
     else:
         from donorlens.sources.jdbc import read_jdbc_tables
         if not args.jdbc_url:
@@ -61,8 +64,13 @@ def main(argv=None, spark=None):
                                   cycle_bounds=tuple(args.cycle_bounds) if args.cycle_bounds else None)
     tables = tables.sample(args.sample)
     names = args.reports or list(reports.REPORTS)
-    if len(names) > 1:
-        tables = reports.materialise(tables)
+    if len(names) > 1 and args.mode == "spec":
+        common = shared.all_reports(shared.store(shared.fold(tables)))
+        chosen = [(name, common[name]) for name in names]
+    else:
+        if len(names) > 1 and (loaded is None or args.sample is not None):
+            tables = reports.materialise(tables)
+        chosen = reports.generate_reports(tables, names, mode=args.mode)
 
     def sink(report, name, keys):
         if args.out:
@@ -70,7 +78,10 @@ def main(argv=None, spark=None):
         if args.jdbc_url:
             write_jdbc(report, args.jdbc_url, name, props, keys=keys, stored=True)
 
-    return run_reports(reports.generate_reports(tables, names, mode=args.mode), sink, keys=reports.REPORT_KEYS)
+    written = run_reports(chosen, sink, keys=reports.REPORT_KEYS)
+    if loaded is not None:
+        run_reports([("load_report", load.load_report(spark, loaded.counts))], sink, keys={"load_report": ["table_name", "metric"]})
+    return written
 
 
 if __name__ == "__main__":

@@ -122,7 +122,8 @@ def sum_of_squares(pattern: str = "Squared{}AmountDonated") -> StateMeasure:
 def quantile(q: float, pattern: str) -> StateMeasure:
     """An approximate quantile of the contributions by mergeable KLL sketches; NULL for an empty segment."""
     sketch = State("sketch", lambda: F.col("amount").cast("long"), F.kll_sketch_agg_bigint, F.kll_merge_agg_bigint)
-    return StateMeasure(pattern, (sketch,), lambda s: F.kll_sketch_get_quantile_bigint(s, F.lit(q)))
+    return StateMeasure(pattern, (sketch,), lambda s: F.when(F.kll_sketch_get_n_bigint(s) > 0,
+                                                               F.kll_sketch_get_quantile_bigint(s, F.lit(q))))
 
 
 def gender_segment(label: str, code: str) -> Segment:
