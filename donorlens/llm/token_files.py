@@ -37,6 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from donorlens.llm.common import exactly, new_path, stage
+from donorlens.llm.tokens import BATCH
 
 MAGIC = b"PFORTOK1"
 BLOCK = 4096
@@ -172,8 +173,8 @@ def write_token_files(docs: DataFrame, directory: str, make_encoder: Callable, e
 
         for batch in batches:
             doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for i in range(0, len(texts), 256):
-                for doc_id, raw in zip(doc_ids[i:i + 256], encode(texts[i:i + 256])):
+            for i in range(0, len(texts), BATCH):
+                for doc_id, raw in zip(doc_ids[i:i + BATCH], encode(texts[i:i + BATCH])):
                     ids.append(doc_id)
                     found.append(raw + end)
                     size += len(raw) + 4

@@ -5,6 +5,10 @@ ids of a text are the ids of its white-space-delimited pieces in order. Each
 worker keeps the ids of the pieces it has seen (at most ``CACHE_PIECES``, then
 the cache starts anew) and lets the library encode the unseen pieces of a whole
 batch as one text, whose ids are dealt back by the bytes each token stands for.
+Both vocabularies also split between a letter and a stop after it, and the one that
+drops white space reads small letters only: a piece that ends in stops is put together from
+its word and its stops, a capitalised word from its small form, so one word in many
+guises is learned once.
 A text the piece rules do not cover exactly (odd white space, special-token
 strings) is encoded whole.
 """
@@ -16,9 +20,14 @@ import re
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-CACHE_PIECES = 300_000
+CACHE_PIECES = 600_000
+BATCH = 1024  # texts a caller should encode at once
 _RUN = re.compile(r" ?\S+|\s+(?!\S)|\s+")
+_STOPS = ".,;:!?"
+_LATIN_END = "\u0130"  # below it, lower case is the same letter by letter everywhere
 _ODD = re.compile(r"[\x1c-\x1f]")  # white space to Python, not to the library
 
 
@@ -42,18 +51,16 @@ class PieceTokenizer:
     def _whole(self, text: str) -> bytes:
         return np.asarray(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _split(self, text: str) -> tuple[list[str], list[str]] | None:
-        """(exact pieces, blanked pieces), in this order in the text; None: encode the text whole."""
-        if "<|" in text or _ODD.search(text):
+    def _plain(self, text: str) -> str | None:
+        """The text with a single blank before every piece but the first; None: it has to be split by rule."""
+        if "<|" in text or _ODD.search(text) or not text:
             return None
         if not self.keeps_blanks:
-            return text.split(), []
-        if not ("  " in text or "\n\n" in text or " \n" in text or "\n " in text
+            return text.replace("\n", " ")
+        if ("  " in text or "\n\n" in text or " \n" in text or "\n " in text
                 or text[:1].isspace() or text[-1:].isspace()):
-            parts = text.replace("\n", " \n").split(" ")
-            if len(parts) == len(text.split()):  # no other white space
-                return parts[:1], parts[1:]
-        return _RUN.findall(text), []
+            return None
+        return text.replace("\n", " \n")
 
     def _one_by_one(self, pieces: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(pieces, add_special_tokens=False)
@@ -76,25 +83,90 @@ class PieceTokenizer:
         return [raw[a:b] for a, b in zip(cuts, cuts[1:])]
 
     def _learn(self, cache: dict[str, bytes], pieces: set[str], encode) -> None:
+        """Adds the unseen ``pieces`` to ``cache``; their words and stops are learned before them."""
         if len(cache) > CACHE_PIECES:
             cache.clear()
-        missing = list(pieces.difference(cache))
+        missing = pieces.difference(cache)
+        made = []  # (piece, word, stops)
+        for piece in missing:
+            word = piece.rstrip(_STOPS)
+            stops = piece[len(word):]
+            if not word or not word[-1].isalpha():
+                word, stops = piece, ""
+            if not self.keeps_blanks and (word.isascii() or max(word) < _LATIN_END):
+                word = word.lower()
+            if stops or word != piece:
+                made.append((piece, word, stops))
+        if made:
+            missing.difference_update(m[0] for m in made)
+            missing.update({m[1] for m in made}.difference(cache))
+        missing = list(missing)
         for i in range(0, len(missing), 20_000):
             cache.update(zip(missing[i:i + 20_000], encode(missing[i:i + 20_000]), strict=True))
+        if made:
+            tails = {m[2] for m in made if m[2]}.difference(self.exact)
+            if tails:
+                tails = list(tails)
+                self.exact.update(zip(tails, self._one_by_one(tails), strict=True))
+            cache.update({piece: cache[word] + self.exact[stops] if stops else cache[word] for piece, word, stops in made})
+
+    def _by_rule(self, text: str) -> bytes:
+        """A text with odd white space: its pieces by the rules, or whole where these do not cover it."""
+        if "<|" in text or _ODD.search(text):
+            return self._whole(text)
+        pieces = _RUN.findall(text) if self.keeps_blanks else text.split()
+        self._learn(self.exact, set(pieces), self._one_by_one if self.keeps_blanks else self._together)
+        return b"".join(map(self.exact.__getitem__, pieces))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Each text's ids as little-endian unsigned 32-bit integers; an empty text has none."""
-        split = [self._split(t) for t in texts]
-        known = [p for p in split if p is not None]
-        exact = set().union(*(p[0] for p in known))
-        blanked = set().union(*(p[1] for p in known))
-        self._learn(self.exact, exact, self._one_by_one if self.keeps_blanks else self._together)
-        after_break = {p for p in blanked if p[0] == "\n"}  # a line feed, not a blank, stands before these
-        self._learn(self.blanked, after_break, self._one_by_one)
-        self._learn(self.blanked, blanked - after_break, self._together)
-        exact, blanked = self.exact.__getitem__, self.blanked.__getitem__
-        return [self._whole(t) if p is None else b"".join([*map(exact, p[0]), *map(blanked, p[1])])
-                for t, p in zip(texts, split)]
+        """Each text's ids as little-endian unsigned 32-bit integers; an empty text has none.
+
+        Pieces are told apart in Arrow buffers, so only the distinct ones of a batch become Python
+        strings; the ids of all pieces are then gathered by number.
+        """
+        out: list[bytes | None] = [None] * len(texts)
+        plain = [(i, p) for i, p in enumerate(map(self._plain, texts)) if p is not None]
+        if plain:
+            lists = pc.split_pattern(pa.array([p for _, p in plain], pa.large_string()), " ")
+            coded = lists.flatten().dictionary_encode()
+            ends = np.asarray(lists.offsets)
+            code, words = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
+            cache = self.blanked if self.keeps_blanks else self.exact
+            cache[""] = b""  # between two blanks, where white space is dropped
+            ids = list(map(cache.get, words))
+            unseen = [k for k, raw in enumerate(ids) if raw is None]
+            # white space inside a piece: its texts are split by rule
+            odd = np.zeros(len(words), bool)
+            odd[[k for k in unseen if len(words[k].split()) != 1]] = True
+            by_rule = np.add.reduceat(odd[code], ends[:-1]) > 0
+            new = {words[k] for k in unseen if not odd[k]}
+            if self.keeps_blanks:
+                # a line feed, not a blank, stands before some pieces; nothing before the first of a text
+                after_break = {w for w in new if w[0] == "\n"}
+                self._learn(cache, after_break, self._one_by_one)
+                ids = [cache[w] if w in after_break else raw for w, raw in zip(words, ids)] if after_break else ids
+                new -= after_break
+                unseen = [k for k in unseen if ids[k] is None]
+                first = coded.dictionary.take(pa.array(code[ends[:-1]])).to_pylist()
+                fine = sorted({w for w, bad in zip(first, by_rule) if not bad})
+                self._learn(self.exact, set(fine), self._one_by_one)
+                place = {w: len(words) + k for k, w in enumerate(fine)}
+                code[ends[:-1]] = [place.get(w, 0) for w in first]
+                ids += [self.exact[w] for w in fine]
+            self._learn(cache, new, self._together)
+            for k in unseen:
+                ids[k] = b"" if odd[k] else cache[words[k]]
+            size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+            start = np.cumsum(size) - size
+            flat = np.frombuffer(b"".join(ids), "<u4")
+            n = size[code]
+            before = np.cumsum(n) - n
+            total = int(n.sum())
+            gathered = flat[np.repeat(start[code] - before, n) + np.arange(total)].tobytes()
+            cuts = 4 * np.r_[before, total][ends]
+            for (i, _), a, b, bad in zip(plain, cuts[:-1].tolist(), cuts[1:].tolist(), by_rule.tolist()):
+                out[i] = None if bad else gathered[a:b]
+        return [self._by_rule(t) if raw is None else raw for t, raw in zip(texts, out)]
 
 
 @lru_cache(maxsize=2)
