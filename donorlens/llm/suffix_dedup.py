@@ -5,10 +5,12 @@ document with a smaller doc_id (judged on the input, overlaps included).
 
 1. One pass keys every window of ``LENGTH`` bytes by the least hash of its
    ``GRAM``-byte strings. Equal windows have equal keys, and neighbouring windows
-   mostly share one, so a *run* of windows (at most ``RUN``) is one small row:
-   key, document, place, number of windows. No text moves yet.
-2. Keys seen in one document only are dropped (grouped minimum and maximum,
-   combined map-side). The runs left are cut from their texts, and equal ones
+   mostly share one, so a *run* of windows (at most ``RUN``) has one key. The runs
+   themselves are not stored: per key only the least and the greatest document are
+   kept (combined map-side). Keys of one document only go; the others mark the bits
+   of a filter whose size follows their number, up to 2 ** ``FILTER_BITS`` bits.
+2. A second pass finds the runs again and cuts those whose key passes the filter
+   from their texts (a key that passes by chance meets no other document). Equal ones
    collapse to one *snippet* with its smallest doc_id, again combined map-side, so
    a passage in a third of all documents is one row per task.
 3. Snippets are dealt to blocks by key, and a task builds a suffix array per
@@ -18,12 +20,17 @@ document with a smaller doc_id (judged on the input, overlaps included).
    smallest document decides. A key with more than ``HOT`` different snippets is
    first cut into single windows that are dealt by their own hash, so no key
    gathers an unbounded block.
-4. Removed ranges go back to their documents and are cut out of the texts.
+4. Removed ranges go back to their documents and are cut out of the texts. A second filter marks
+   the documents that have any, so that the other texts are not shuffled.
 
 Defined results: a null text is empty; texts under ``LENGTH`` bytes keep
 everything; a row without a doc_id has no place in the order: nothing is removed
 from it and it removes nothing; rows that share a doc_id do not remove each
-other's bytes and each is judged on its own text; extra columns are ignored.
+other's bytes and each is judged on its own text (equal rows, whatever their number, share one list of ranges); extra columns
+are ignored; a text over ``CHUNK`` bytes is keyed in parts that overlap by a window.
+
+A snippet meets its verdict again on two 64-bit hashes of its bytes, which are compared in full
+inside the suffix arrays only.
 """
 
 from __future__ import annotations
@@ -31,6 +38,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -41,6 +49,7 @@ GRAM = 20
 RUN = 64
 BLOCK_BYTES = 2 << 20
 HOT = 20_000
+FILTER_BITS = 30     # bits of the largest filter: 128 MB
 CHUNK = 1 << 20      # windows keyed at once: bounds the memory of a very long text
 ROWS_OUT = 200_000
 
@@ -201,16 +210,19 @@ _TEXTS = ["CAST(doc_id AS BIGINT) AS doc_id", "coalesce(text, '') AS text",
           "shiftleft(CAST(hash(text) AS BIGINT), 32) AS tag"]  # tells rows apart that share a doc_id
 
 
-def _runs(texts: DataFrame) -> DataFrame:
-    """(m, doc, place, n): place holds the row's tag above and the start below."""
+def _long(texts: DataFrame) -> DataFrame:
+    return texts.where(f"doc_id IS NOT NULL AND octet_length(text) >= {LENGTH}")
+
+
+def _keys(texts: DataFrame) -> DataFrame:
+    """(m, doc): the distinct window keys of every text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             held, size = [], 0
-            for doc, text, tag in zip(*[c.to_pylist() for c in batch.columns]):
-                data = np.frombuffer(text.encode(), dtype=np.uint8)
-                keys, starts, counts = window_runs(data)
-                held.append((keys.view(np.int64), np.full(len(keys), doc), starts | tag, counts))
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                keys = np.unique(window_runs(np.frombuffer(text.encode(), dtype=np.uint8))[0])
+                held.append((keys.view(np.int64), np.full(len(keys), doc)))
                 size += len(keys)
                 if size > ROWS_OUT:
                     yield pack(held)
@@ -219,25 +231,72 @@ def _runs(texts: DataFrame) -> DataFrame:
                 yield pack(held)
 
     def pack(held):
-        cols = [np.concatenate(c) for c in zip(*held)]
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols[:3]] + [pa.array(cols[3], pa.int32())],
-                                          names=["m", "doc", "place", "n"])
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in zip(*held)], names=["m", "doc"])
+
+    return _long(texts).select("doc_id", "text").mapInArrow(run, "m long, doc long")
+
+
+def _slots(hashes: np.ndarray, bits: int) -> np.ndarray:
+    """Places in a filter; mixed first, because least hashes crowd near 0."""
+    return (_mix(hashes) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+class Filter:
+    """A bit per slot of a hash: no false negatives. Built in segments over Spark; ``bits`` follows the
+    number of entries, so a sparse one is small and the largest is 2 ** ``FILTER_BITS`` bits."""
+
+    SEGMENT = 20  # bits of a slot's place in its segment
 
-    long = texts.where(f"doc_id IS NOT NULL AND octet_length(text) >= {LENGTH}").select("doc_id", "text", "tag")
-    return long.mapInArrow(run, "m long, doc long, place long, n int")
+    def __init__(self, hashes: DataFrame):
+        """``hashes``: one column of longs, staged (it is read twice)."""
+        n = hashes.count()
+        self.bits = bits = min(FILTER_BITS, max(self.SEGMENT, int(16 * n).bit_length()))
+        width = self.SEGMENT
 
+        def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                slot = _slots(batch.column(0).to_numpy().view(np.uint64), bits)
+                yield pa.RecordBatch.from_arrays([pa.array(slot >> width), pa.array(slot & ((1 << width) - 1))],
+                                                 names=["segment", "at"])
 
-def _snippets(texts: DataFrame, runs: DataFrame) -> DataFrame:
-    """(m, doc, place, n, s): the bytes of each run."""
+        def segment(key, pdf: pd.DataFrame) -> pd.DataFrame:
+            marks = np.zeros(1 << width, bool)
+            marks[pdf["at"].to_numpy()] = True
+            return pd.DataFrame({"segment": [key[0]], "marks": [np.packbits(marks).tobytes()]})
+
+        marked = hashes.mapInArrow(slots, "segment long, at long").distinct().groupBy("segment")
+        table = bytearray(1 << (bits - 3))
+        size = 1 << (width - 3)
+        for r in marked.applyInPandas(segment, "segment long, marks binary").collect():  # the filter's own size
+            table[r["segment"] * size:(r["segment"] + 1) * size] = r["marks"]
+        self.table = hashes.sparkSession.sparkContext.broadcast(bytes(table))
+
+    def probe(self):
+        """For tasks: hashes (uint64) to booleans."""
+        table, bits = self.table, self.bits
+
+        def hit(hashes: np.ndarray) -> np.ndarray:
+            slots = _slots(hashes, bits)
+            marks = np.frombuffer(table.value, np.uint8)
+            return (marks[slots >> 3] >> (7 - (slots & 7)).astype(np.uint8)) & 1 > 0
+
+        return hit
+
+
+def _snippets(texts: DataFrame, shared: Filter) -> DataFrame:
+    """(m, doc, place, n, s): the runs whose key passes the filter, with their bytes. ``place`` holds the
+    row's tag above and the start below."""
+    hit = shared.probe()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[tuple] = []
-            for doc, text, own in zip(*[c.to_pylist() for c in batch.columns]):
+            for doc, text, tag in zip(*[c.to_pylist() for c in batch.columns]):
                 raw = text.encode()
-                for r in own:
-                    start = r["place"] & 0xFFFFFFFF
-                    rows.append((r["m"], doc, r["place"], r["n"], raw[start:start + r["n"] + LENGTH - 1]))
+                keys, starts, counts = window_runs(np.frombuffer(raw, dtype=np.uint8))
+                kept = hit(keys)
+                for m, start, n in zip(keys[kept].view(np.int64).tolist(), starts[kept].tolist(), counts[kept].tolist()):
+                    rows.append((m, doc, tag | start, n, raw[start:start + n + LENGTH - 1]))
                 if len(rows) > ROWS_OUT:
                     yield pack(rows)
                     rows = []
@@ -249,10 +308,7 @@ def _snippets(texts: DataFrame, runs: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)],
                                           names=["m", "doc", "place", "n", "s"])
 
-    own = (runs.withColumn("tag", F.expr("shiftleft(shiftright(place, 32), 32)"))
-           .groupBy(F.col("doc").alias("doc_id"), "tag").agg(F.collect_list(F.struct("m", "place", "n")).alias("own")))
-    cut = texts.join(own, ["doc_id", "tag"]).select("doc_id", "text", "own")
-    return cut.mapInArrow(run, "m long, doc long, place long, n int, s binary")
+    return _long(texts).select("doc_id", "text", "tag").mapInArrow(run, "m long, doc long, place long, n int, s binary")
 
 
 def _single_windows(snippets: DataFrame, hot: DataFrame) -> DataFrame:
@@ -296,10 +352,11 @@ def _judge(classes: DataFrame) -> DataFrame:
 def removed_ranges(texts: DataFrame) -> DataFrame:
     """(doc_id, tag, ranges): per document with removals its runs as (start, n, seen); a null ``seen``
     stands for all windows of the run."""
-    runs = stage(_runs(texts), "window-runs")
-    shared = runs.groupBy("m").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo < hi").select("m")
-    left = runs.join(stage(shared, "shared-keys"), "m", "left_semi")
-    snippets = stage(_snippets(texts, left).withColumn("c", F.xxhash64("s")), "snippets")
+    keys = _keys(texts).groupBy("m").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"))
+    shared = Filter(stage(keys.where("lo < hi").select("m"), "shared-keys"))
+    # equal snippets are many: a wide dictionary stores their bytes once per file
+    snippets = stage(_snippets(texts, shared).withColumn("c", F.xxhash64("s")), "snippets",
+                     **{"parquet.dictionary.page.size": 16 << 20, "parquet.block.size": 32 << 20})
     classes = stage(snippets.groupBy("m", "c", "s").agg(F.min("doc").alias("first")), "snippet-classes")
     hot = stage(classes.groupBy("m").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > HOT), "hot-keys")
     places = snippets.select("m", "c", "doc", "place", "n")
@@ -313,7 +370,8 @@ def removed_ranges(texts: DataFrame) -> DataFrame:
     gone = places.join(judged, ["m", "c"]).where("doc > first OR hex(seen) RLIKE '[1-9A-F]'")
     gone = gone.selectExpr("doc AS doc_id", "shiftleft(shiftright(place, 32), 32) AS tag",
                            "place & 4294967295 AS start", "n", "CASE WHEN doc = first THEN seen END AS seen")
-    return gone.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("start", "n", "seen")).alias("ranges"))
+    # equal rows of a document have equal ranges
+    return gone.groupBy("doc_id", "tag").agg(F.collect_set(F.struct("start", "n", "seen")).alias("ranges"))
 
 
 def cut_out(raw: bytes, ranges: list[dict] | None) -> tuple[bytes, int]:
@@ -348,8 +406,22 @@ def deduplicate(docs: DataFrame) -> DataFrame:
                      pa.array([k[1] for k in kept], pa.int64()), pa.array([k[0] for k in kept], pa.binary())],
                     names=["doc_id", "n_bytes", "n_spans", "kept"])
 
-    joined = texts.join(removed_ranges(texts), ["doc_id", "tag"], "left").select("doc_id", "text", "ranges")
-    return joined.mapInArrow(run, "doc_id long, n_bytes long, n_spans long, kept binary")
+    schema = "doc_id long, n_bytes long, n_spans long, kept binary"
+    ranges = stage(removed_ranges(texts), "removed-ranges")
+    name = F.xxhash64("doc_id", "tag")
+    touched = Filter(stage(ranges.select(name.alias("h")), "touched-documents")).probe()
+
+    def untouched(batches: Iterator[pa.RecordBatch], wanted: bool) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hit = touched(batch.column(3).to_numpy().view(np.uint64))
+            yield batch.filter(pa.array(hit if wanted else ~hit))
+
+    marked = texts.withColumn("h", name)
+    plain = marked.mapInArrow(lambda b: untouched(b, False), marked.schema).select(
+        "doc_id", "text", F.lit(None).cast(ranges.schema["ranges"].dataType).alias("ranges"))
+    changed = marked.mapInArrow(lambda b: untouched(b, True), marked.schema)
+    joined = changed.join(ranges, ["doc_id", "tag"], "left").select("doc_id", "text", "ranges")
+    return plain.mapInArrow(run, schema).unionByName(joined.mapInArrow(run, schema))
 
 
 def query(docs: DataFrame) -> DataFrame:
