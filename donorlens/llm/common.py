@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -27,7 +26,11 @@ def shared_dir(spark: SparkSession) -> str:
     (a local test session) gets a scratch folder of its own, and keeps it in that setting."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="llm-shared-")
+        base = spark.sparkContext.getCheckpointDir()
+        if not base:
+            if not spark.sparkContext.master.startswith("local"):
+                raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
+            base = tempfile.mkdtemp(prefix="llm-shared-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
 
@@ -48,15 +51,3 @@ def stage(df: DataFrame, name: str, **options) -> DataFrame:
 def exactly(df: DataFrame, *names: str) -> DataFrame:
     """Only the named columns, each resolved once: extra columns with any name do not matter."""
     return df.select(*[df[n] for n in names])
-
-
-def is_local_path(uri: str) -> bool:
-    return "://" not in uri or uri.startswith("file:")
-
-
-def local_path(uri: str) -> str:
-    return uri[len("file://"):] if uri.startswith("file://") else uri[5:] if uri.startswith("file:") else uri
-
-
-def parent(uri: str) -> str:
-    return os.path.dirname(uri.rstrip("/"))

@@ -44,6 +44,16 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM b
 """
 
+# Rule names by bit, and the rules of each policy.
+_RULES = ["few_words", "repeated_windows", "symbols", "repeated_lines", "word_length", "shouting", "exclamations"]
+_POLICIES = {"base": 2, "v1": 5, "v2": 7}  # the first so many rules
+
+ORACLE_SQL["quality_ablations"] = " UNION ALL ".join(
+    f"SELECT '{policy}' AS policy, '{_RULES[bit]}' AS rule, count(*) FILTER (WHERE fail_bits & {1 << bit} <> 0) AS failing, "
+    f"count(*) FILTER (WHERE fail_bits & {(1 << n) - 1} <> 0) AS rejected, "
+    f"count(*) FILTER (WHERE fail_bits & {(1 << n) - 1} = {1 << bit}) AS rejected_by_it_alone "
+    f"FROM ({ORACLE_SQL['op10_quality_rules']})" for policy, n in _POLICIES.items() for bit in range(n))
+
 
 def _merkle(depth: int = 13) -> str:
     """Levels and climbs written out one by one: right for up to 3 ** depth rows a source, and sources."""

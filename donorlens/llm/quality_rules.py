@@ -58,9 +58,9 @@ MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words
             "n_lines", "n_caps_words", "n_exclamations"]
 
 
-def policy_mask(policy: str) -> int:
+def policy_mask(policy: str, policies: dict[str, list[str]] | None = None) -> int:
     bits = {r.name: 1 << r.bit for r in RULES}
-    return sum(bits[name] for name in POLICIES[policy])
+    return sum(bits[name] for name in (policies or POLICIES)[policy])
 
 
 def measure(docs: DataFrame, *keep: str) -> DataFrame:
@@ -116,21 +116,14 @@ def ablations(book: DataFrame, policies: dict[str, list[str]] | None = None) ->
     The ledger is first reduced to counts per distinct failure mask (at most 2^rules rows).
     """
     masks = book.groupBy("fail_bits").agg(F.count(F.lit(1)).alias("n"))
-    spark = book.sparkSession
-    grid = spark.createDataFrame(
-        [(p, r.name, 1 << r.bit, policy_mask(p)) for p, names in (policies or POLICIES).items()
-         for r in RULES if r.name in names],
-        "policy string, rule string, rule_mask long, policy_mask long")
-    # the masks are read once per (policy, rule) through an explode of the fixed grid
-    grid_rows = grid.collect()
-    cells = F.array(*[F.struct(F.lit(g.policy).alias("policy"), F.lit(g.rule).alias("rule"),
-                               F.lit(g.rule_mask).alias("rule_mask"), F.lit(g.policy_mask).alias("policy_mask"))
-                      for g in grid_rows])
-    return (masks.select("fail_bits", "n", F.explode(cells).alias("c"))
-            .groupBy(F.col("c.policy").alias("policy"), F.col("c.rule").alias("rule"))
-            .agg(F.expr("coalesce(sum(n) FILTER (WHERE (fail_bits & c.rule_mask) != 0), 0)").alias("failing"),
-                 F.expr("coalesce(sum(n) FILTER (WHERE (fail_bits & c.policy_mask) != 0), 0)").alias("rejected"),
-                 F.expr("coalesce(sum(n) FILTER (WHERE (fail_bits & c.policy_mask) = c.rule_mask), 0)")
+    cells = ", ".join(f"struct('{policy}' AS policy, '{r.name}' AS rule, {1 << r.bit}L AS rule_mask, {policy_mask(policy, policies)}L AS policy_mask)"
+                      for policy, names in (policies or POLICIES).items() for r in RULES if r.name in names)
+    # each of the few masks meets every (policy, rule)
+    return (masks.select("fail_bits", "n", F.expr(f"inline(array({cells}))"))
+            .groupBy("policy", "rule")
+            .agg(F.expr("coalesce(sum(n) FILTER (WHERE (fail_bits & rule_mask) != 0), 0)").alias("failing"),
+                 F.expr("coalesce(sum(n) FILTER (WHERE (fail_bits & policy_mask) != 0), 0)").alias("rejected"),
+                 F.expr("coalesce(sum(n) FILTER (WHERE (fail_bits & policy_mask) = rule_mask), 0)")
                  .alias("rejected_by_it_alone")))
 
 
@@ -146,8 +139,9 @@ def filter_documents(docs: DataFrame, policy: str = DEFAULT_POLICY) -> DataFrame
 
 
 def query(docs: DataFrame) -> DataFrame:
-    """The registered result: one row per document."""
-    out = apply_policy(ledger(docs, "doc_id"))
+    """The registered result: one row per document. The ledger is written down first (a few bytes a document): a
+    filter on the result would else be pushed into the rules and evaluate each many times over."""
+    out = apply_policy(stage(ledger(docs, "doc_id"), "quality-ledger"))
     base = policy_mask("base")
     return out.selectExpr("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                           f"(fail_bits & {base}L) != 0 AS base_failed", "kept", "fail_bits")

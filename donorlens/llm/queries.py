@@ -65,6 +65,11 @@ def op10_quality_rules(spark, sf_dir):
     return quality_rules.query(read_table(spark, sf_dir, "documents"))
 
 
+def quality_ablations(spark, sf_dir):
+    """Per policy and rule: documents that fail it, that the policy rejects, and that it alone rejects."""
+    return quality_rules.ablations(quality_rules.ledger(read_table(spark, sf_dir, "documents"), "doc_id"))
+
+
 def op11_embedding_near_dedup(spark, sf_dir):
     return cover_tree.query(read_table(spark, sf_dir, "embeddings"))
 
@@ -88,6 +93,7 @@ QUERIES = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_toxicity": op9_toxicity,
     "op10_quality_rules": op10_quality_rules,
+    "quality_ablations": quality_ablations,
     "op11_embedding_near_dedup": op11_embedding_near_dedup,
     "op12_merkle_manifest": op12_merkle_manifest,
     "op13_collocations": op13_collocations,

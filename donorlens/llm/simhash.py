@@ -61,16 +61,19 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): fp holds the unsigned fingerprint's bits as a long. Staged."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, tagged: bool = False) -> DataFrame:
+    """(doc_id, fp): fp holds the unsigned fingerprint's bits as a long. Staged. ``tagged`` adds a hash of
+    the text (tag), which tells rows apart that share a doc_id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(1)], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64)), *batch.columns[2:]],
+                                             names=["doc_id", "fp", *batch.schema.names[2:]])
 
-    texts = exactly(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return stage(texts.mapInArrow(run, "doc_id long, fp long"), "fingerprints")
+    tag = [F.xxhash64("text").alias("tag")] * tagged
+    texts = exactly(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text", *tag)
+    return stage(texts.mapInArrow(run, "doc_id long, fp long" + ", tag long" * tagged), "fingerprints")
 
 
 # -- the trie self-join inside a task -------------------------------------------
@@ -261,23 +264,50 @@ def links(fps: DataFrame, budget: int = MAX_BITS, node_max: int = NODE_MAX) -> D
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
                     node_max: int = NODE_MAX) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable by links)."""
-    rows = fingerprints(docs, shingle)
+    rows, named = _components(docs, shingle, max_bits, node_max)
+    return rows.join(named, "fp").select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def _components(docs: DataFrame, shingle: int, max_bits: int, node_max: int = NODE_MAX,
+                tagged: bool = False) -> tuple[DataFrame, DataFrame]:
+    """``fingerprints``, and (fp, label, component_id) of the distinct ones: the component and its smallest doc_id."""
+    rows = fingerprints(docs, shingle, tagged)
     classes = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("root")), "fingerprint-classes")
     label = components(links(classes.select("fp"), max_bits, node_max))
     joined = stage(classes.join(label.withColumnRenamed("node", "fp"), "fp"), "linked-classes")
     least = joined.groupBy("label").agg(F.min("root").alias("least"))
-    linked = joined.join(least, "label").select("fp", "least")
-    named = stage(classes.join(linked, "fp", "left").select("fp", F.coalesce("least", "root").alias("component_id")), "named-classes")
-    return rows.join(named, "fp").select(
-        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    linked = joined.join(least, "label").select("fp", "label", "least")
+    named = classes.join(linked, "fp", "left").select(
+        "fp", F.coalesce("label", "fp").alias("label"), F.coalesce("least", "root").alias("component_id"))
+    return rows, stage(named, "named-classes")
 
 
 def deduplicate(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """The documents with the smallest doc_id of their component, columns unchanged. Rows without
-    a doc_id cannot be told apart as documents and stay."""
-    found = near_duplicates(docs, shingle, max_bits)
-    gone = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    """One row of each component, columns unchanged: the one with the smallest doc_id, of several texts with that
+    id the one with the smallest text hash, of equal rows any one. So a row goes only if a row it is linked
+    to stays, whatever other rows share its doc_id. Rows without a doc_id cannot be told apart as
+    documents and stay."""
+    rows, named = _components(docs, shingle, max_bits, tagged=True)
+    texts = (rows.where("doc_id IS NOT NULL").join(named.select("fp", "label"), "fp")
+             .groupBy("label", "doc_id", "tag").agg(F.count(F.lit(1)).alias("n")))
+    texts = stage(texts, "component-rows")
+    best = texts.groupBy("label").agg(F.min(F.struct("doc_id", "tag")).alias("best"))
+    judged = texts.join(best, "label").withColumn("stays", F.struct("doc_id", "tag") == F.col("best"))
+    # rows of one doc_id and text that are in two components cannot be: equal texts have one fingerprint
+    judged = stage(judged.where("NOT stays OR n > 1").select(F.col("doc_id").alias("_i"), F.col("tag").alias("_t"), "stays"), "judged-rows")
+
+    def this(rows):
+        return (docs["doc_id"].cast("long") == rows["_i"]) & (F.xxhash64(docs["text"]) == rows["_t"])
+
+    alone = docs.join(judged, this(judged), "left_anti")
+    several = judged.where("stays")
+    repeated = docs.join(several, this(several), "left_semi")
+    # the whole row travels as one struct, so no column name can clash
+    whole = repeated.select(docs["doc_id"].alias("_i"), F.xxhash64(docs["text"]).alias("_t"),
+                            F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("_doc"))
+    once = whole.groupBy("_i", "_t").agg(F.first("_doc").alias("_doc")).select("_doc.*")
+    return alone.unionByName(once)
 
 
 def query(docs: DataFrame) -> DataFrame:

@@ -259,7 +259,7 @@ class Filter:
                 yield pa.RecordBatch.from_arrays([pa.array(slot >> width), pa.array(slot & ((1 << width) - 1))],
                                                  names=["segment", "at"])
 
-        def segment(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        def segment(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
             marks = np.zeros(1 << width, bool)
             marks[pdf["at"].to_numpy()] = True
             return pd.DataFrame({"segment": [key[0]], "marks": [np.packbits(marks).tobytes()]})
