@@ -1,4 +1,4 @@
-"""Benchmark decontamination: BM25 over the test items with block-max WAND pruning.
+"""Benchmark decontamination: BM25 over the test items with block-max WAND.
 
 The inverted index holds the benchmark items, not the corpus. Its statistics
 (document frequencies, lengths) are computed by Spark over all items; the
@@ -12,11 +12,16 @@ whole inside a passage) and each passage is a query:
 
 * impacts are BM25 weights divided by the item's own score, so one threshold
   (``RETRIEVE``) asks for the same share of every item;
-* items stand in blocks; a passage's rarer terms add their block maxima, its
-  frequent terms together at most the largest share that any item of the block
-  owes to frequent terms. That bounds every score in the block, and blocks below
-  the threshold are skipped unseen;
-* in the blocks that are left every item is scored exactly and all at or above
+* items stand in blocks. Every rarer term of a passage has a cursor on its list of
+  blocks. The cursors are sorted by block and their term maxima added up: the
+  block at which the sum can reach the threshold is the pivot. The cursors before it
+  jump to it by binary search, their *block* maxima there decide whether the block is
+  scored, and the cursors go on behind it. All passages of a slice take their steps
+  together, so a step is a few array operations, and a slice holds about ``WORDS`` words;
+* frequent terms have no cursors: together they add at most the largest share that
+  any item of a block owes to them. A block that could reach the threshold by its
+  frequent terms alone is scored for every passage;
+* in a block that is left every item is scored exactly and all at or above
   the threshold are retrieved, not only the best;
 * a retrieved item counts as leaked if at least ``OVERLAP`` of the five-word
   shingles of its question and of its answer stand in the passage. Tables may
@@ -26,7 +31,8 @@ whole inside a passage) and each passage is a query:
 
 Defined results: null or empty texts and items match nothing; equal items are all
 reported; rows that share a doc_id are judged one by one; a null doc_id is
-carried; extra columns pass through; an empty benchmark leaves every document.
+carried; extra columns pass through; an empty benchmark leaves every document; a very
+long text is searched in overlapping slices, so only its word numbers are held whole.
 """
 
 from __future__ import annotations
@@ -48,6 +54,9 @@ SHINGLE = 5
 BLOCK = 8            # items in a block
 FREQUENT = 0.03      # share of the items from which a term counts as frequent
 SHARD_WORDS = 2_000_000
+WORDS = 100_000      # words of the passages searched together
+LONG_TEXT = 1 << 20  # characters from which a text's words are read one at a time
+EPS = 1e-9
 _TOKEN = re.compile(r"\w+")
 _SENTENCE = re.compile(r"(?<=[.!?\n])\s+(?=\S)")
 PAIRS = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
@@ -84,8 +93,10 @@ class Index:
     item_at: np.ndarray                           # run of blocks -> run of its items
     item_id: np.ndarray
     impact: np.ndarray
-    rare: np.ndarray                              # term -> its block maxima count one by one
+    rare: np.ndarray                              # term -> it has a cursor
     frequent_share: np.ndarray                    # block -> bound of what frequent terms add
+    block_key: np.ndarray                         # term * n_blocks + block, ascending
+    term_max: np.ndarray                          # term -> its largest block maximum
 
 
 def build_index(rows: list, frequency: dict[str, int], n_items: int, mean_length: float) -> Index:
@@ -111,9 +122,11 @@ def build_index(rows: list, frequency: dict[str, int], n_items: int, mean_length
     rare = np.array([frequency[w] <= max(1, FREQUENT * n_items) for w in vocab], dtype=bool)
     share = np.zeros(-(-len(rows) // BLOCK) * BLOCK)
     np.add.at(share, item[~rare[term]], table[~rare[term], 3])
-    return Index(vocab, [r[0] for r in rows], parts, max((len(r[3]) for r in rows), default=1),
-                 -(-len(rows) // BLOCK), np.searchsorted(term[new], np.arange(len(vocab) + 1)), block[new], top,
-                 np.r_[new, len(table)], item, table[:, 3], rare, share.reshape(-1, BLOCK).max(axis=1, initial=0))
+    n_blocks = -(-len(rows) // BLOCK)
+    at = np.searchsorted(term[new], np.arange(len(vocab) + 1))
+    return Index(vocab, [r[0] for r in rows], parts, max((len(r[3]) for r in rows), default=1), n_blocks, at, block[new],
+                 top, np.r_[new, len(table)], item, table[:, 3], rare, share.reshape(-1, BLOCK).max(axis=1, initial=0),
+                 term[new] * n_blocks + block[new], np.maximum.reduceat(top, at[:-1]) if len(table) else np.zeros(0))
 
 
 def _runs(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -123,49 +136,140 @@ def _runs(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return owner, np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(starts, size)
 
 
+def _numbers(index: Index, text: str | None) -> np.ndarray:
+    """The term of every word, -1 for words of no item."""
+    known = index.vocab.get
+    if text and len(text) > LONG_TEXT:
+        return np.fromiter((known(m.group(), -1) for m in _TOKEN.finditer(text.lower())), dtype=np.int64)
+    return np.fromiter((known(w, -1) for w in tokens(text)), dtype=np.int64)
+
+
+@dataclass
+class Passages:
+    """Some passages with their distinct terms."""
+
+    owner: np.ndarray    # passage -> text
+    start: np.ndarray    # passage -> its words in ``words``
+    end: np.ndarray
+    words: np.ndarray
+    term_at: np.ndarray  # passage -> run of its distinct terms
+    term: np.ndarray
+
+
+def slices(index: Index, texts: list[str | None], words: int) -> Iterator[Passages]:
+    """All passages of the texts, about ``words`` words at a time. With chunks of ``index.longest`` words,
+    passage c of a text is its chunks c and c + 1 (a text of one chunk is one passage)."""
+    step = index.longest
+    most = max(1, words // step)  # passages of a long text that are searched together
+    held, size = [], 0
+    for i, text in enumerate(texts):
+        ids = _numbers(index, text)
+        n = max(1, -(-len(ids) // step) - 1)
+        for c in range(0, n if len(ids) else 0, most):
+            held.append((i, ids[c * step:(c + most + 1) * step]))
+            size += len(held[-1][1])
+            if size >= words:
+                yield _passages(index, held)
+                held, size = [], 0
+    if held:
+        yield _passages(index, held)
+
+
+def _passages(index: Index, held: list[tuple[int, np.ndarray]]) -> Passages:
+    step, n_terms = index.longest, len(index.vocab)
+    flat = np.concatenate([ids for _, ids in held])
+    size = np.array([len(ids) for _, ids in held])
+    count = np.maximum(1, -(-size // step) - 1)
+    base, first = np.cumsum(size) - size, np.cumsum(count) - count
+    owner, c = _runs(np.zeros_like(count), count)
+    start = base[owner] + c * step
+    end = np.minimum(start + 2 * step, (base + size)[owner])
+    piece, place = _runs(np.zeros_like(size), size)
+    chunk, passage = place // step, first[piece]
+    front, back = (flat >= 0) & (chunk < count[piece]), (flat >= 0) & (chunk > 0)
+    keys = np.unique(np.r_[(passage[front] + chunk[front]) * n_terms + flat[front],
+                           (passage[back] + chunk[back] - 1) * n_terms + flat[back]])
+    return Passages(np.array([i for i, _ in held])[owner], start, end, flat,
+                    np.searchsorted(keys, np.arange(len(start) + 1) * n_terms), keys % n_terms)
+
+
+def pivots(index: Index, passages: Passages, retrieve: float) -> tuple[np.ndarray, np.ndarray]:
+    """(passage, block): the blocks whose maxima can reach the threshold, by block-max WAND."""
+    n_blocks = index.n_blocks
+    # blocks that frequent terms alone may carry are taken for every passage
+    heavy = index.frequent_share >= retrieve - EPS
+    found = [(np.repeat(np.arange(len(passages.start)), heavy.sum()), np.tile(np.flatnonzero(heavy), len(passages.start)))]
+    need = retrieve - EPS - index.frequent_share[~heavy].max(initial=0)
+    passage = np.repeat(np.arange(len(passages.start)), np.diff(passages.term_at))
+    live = index.rare[passages.term]
+    passage, term = passage[live], passages.term[live]
+    at = index.block_at[term]
+    while len(at):
+        block = index.block_id[at]
+        order = np.argsort(passage * n_blocks + block, kind="stable")
+        passage, term, at, block = passage[order], term[order], at[order], block[order]
+        sums = np.cumsum(index.term_max[term])
+        new = np.flatnonzero(np.r_[True, passage[1:] != passage[:-1]])
+        group = np.cumsum(np.r_[False, passage[1:] != passage[:-1]])
+        reached = np.flatnonzero(sums - np.r_[0, sums][new][group] >= need)
+        # the first cursor of a passage with which its sum can reach the threshold
+        reached = reached[np.r_[True, group[reached][1:] != group[reached][:-1]]] if len(reached) else reached
+        pivot = np.full(len(new), -1)
+        pivot[group[reached]] = block[reached]
+        goal = pivot[group]
+        live = goal >= 0  # the others cannot reach it any more
+        passage, term, at, block, goal = passage[live], term[live], at[live], block[live], goal[live]
+        behind = np.flatnonzero(block < goal)
+        at[behind] = np.searchsorted(index.block_key, term[behind] * n_blocks + goal[behind])
+        live = at < index.block_at[term + 1]
+        passage, term, at, goal = passage[live], term[live], at[live], goal[live]
+        there = index.block_id[at] == goal
+        who, group = np.unique(passage[there], return_inverse=True)
+        bound = np.bincount(group, weights=index.block_max[at[there]], minlength=len(who))
+        block = np.zeros(len(who), np.int64)
+        block[group] = goal[there]
+        good = (bound + index.frequent_share[block] >= retrieve - EPS) & ~heavy[block]
+        found.append((who[good], block[good]))
+        at = at + there
+        live = at < index.block_at[term + 1]
+        passage, term, at = passage[live], term[live], at[live]
+    who, block = (np.concatenate(c) for c in zip(*found))
+    return who, block
+
+
+def retrieved(index: Index, passages: Passages, retrieve: float) -> Iterator[tuple[int, int, float]]:
+    """(passage, item, score) of all items that reach the threshold, scored exactly."""
+    if not index.n_blocks:
+        return
+    who, block = pivots(index, passages, retrieve)
+    some = max(1, WORDS // (2 * index.longest))
+    for i in range(0, len(who), some):
+        w, b = who[i:i + some], block[i:i + some]
+        pair, at = _runs(passages.term_at[w], passages.term_at[w + 1])
+        key = passages.term[at] * index.n_blocks + b[pair]
+        run = np.minimum(np.searchsorted(index.block_key, key), len(index.block_key) - 1)
+        hit = index.block_key[run] == key
+        pair, run = pair[hit], run[hit]
+        k, posting = _runs(index.item_at[run], index.item_at[run + 1])
+        cell = pair[k] * BLOCK + index.item_id[posting] - b[pair[k]] * BLOCK
+        scores = np.bincount(cell, weights=index.impact[posting], minlength=len(w) * BLOCK)
+        for cell in np.flatnonzero(scores >= retrieve - EPS).tolist():
+            yield int(w[cell // BLOCK]), int(b[cell // BLOCK] * BLOCK + cell % BLOCK), float(scores[cell])
+
+
 def search(index: Index, texts: list[str | None], retrieve: float = RETRIEVE,
            overlap: float = OVERLAP) -> list[list[tuple]]:
     """Per text the leaked items: (item_id, score, question overlap, answer overlap)."""
     found: list[dict[int, tuple]] = [{} for _ in texts]
-    known, step = index.vocab.get, index.longest
-    lists = [np.fromiter((known(w, -1) for w in tokens(t)), dtype=np.int64) for t in texts]
-    # chunks of ``step`` words; passage c is the chunks c and c + 1 of one text
-    n_chunks = np.array([-(-len(x) // step) for x in lists])
-    if not n_chunks.sum() or not index.n_blocks:
-        return [[] for _ in texts]
-    text_of = np.repeat(np.arange(len(texts)), n_chunks)
-    first = np.cumsum(n_chunks) - n_chunks
-    flat = np.concatenate(lists)
-    chunk = np.concatenate([first[i] + np.arange(len(x)) // step for i, x in enumerate(lists)])
-    hit = np.flatnonzero(flat >= 0)
-    hit = hit[index.rare[flat[hit]]]
-    owner, at = _runs(index.block_at[flat[hit]], index.block_at[flat[hit] + 1])
-    shape = (len(text_of), index.n_blocks)
-    sums = np.bincount(chunk[hit][owner] * index.n_blocks + index.block_id[at], weights=index.block_max[at],
-                       minlength=shape[0] * shape[1]).reshape(shape)
-    follows = np.r_[text_of[1:] == text_of[:-1], False]
-    # an upper bound for every item of the block: repeated words only raise it
-    bound = sums + np.where(follows[:, None], np.roll(sums, -1, axis=0), 0) + index.frequent_share
-    starts = chunk.searchsorted(np.arange(len(text_of) + 1))
-    for c, block in zip(*np.nonzero(bound >= retrieve - 1e-9)):
-        end = starts[c + 2] if follows[c] else starts[c + 1]
-        passage = flat[starts[c]:end]
-        terms = np.unique(passage[passage >= 0])
-        owner, at = _runs(index.block_at[terms], index.block_at[terms + 1])
-        at = at[index.block_id[at] == block]
-        _, posting = _runs(index.item_at[at], index.item_at[at + 1])
-        base = block * BLOCK
-        scores = np.bincount(index.item_id[posting] - base, weights=index.impact[posting], minlength=BLOCK)
-        words = None
-        for k in np.flatnonzero(scores >= retrieve - 1e-9) + base:
-            words = passage.tolist() if words is None else words
+    for passages in slices(index, texts, WORDS):
+        for passage, k, score in retrieved(index, passages, retrieve):
+            words = passages.words[passages.start[passage]:passages.end[passage]].tolist()
             question, n_q, answer, n_a = index.parts[k]
             q = len(question & _grams(words, n_q)) / len(question)
             a = len(answer & _grams(words, n_a)) / len(answer)
             if q >= overlap and a >= overlap:
-                got = (float(scores[k - base]), q, a)
-                mine = found[text_of[c]]
-                mine[k] = max(mine.get(k, got), got)
+                mine = found[passages.owner[passage]]
+                mine[k] = max(mine.get(k, (score, q, a)), (score, q, a))
     return [[(index.items[k], *v) for k, v in sorted(f.items())] for f in found]
 
 
