@@ -166,3 +166,40 @@ n AS (SELECT a AS vec_id, count(*) AS n FROM link GROUP BY 1)
 SELECT e.vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, c.component_id, e.vec_id = c.component_id AS kept
 FROM embeddings e JOIN c USING (vec_id) LEFT JOIN n USING (vec_id)
 """
+
+
+# Line deduplication: contents of equal or neighbouring length are compared one by one. ``levenshtein``
+# counts bytes here, a character has at most four; the exact test is on characters.
+ORACLE_SQL["op5_line_dedup"] = r"""
+WITH numbered AS (SELECT row_number() OVER () AS rid, doc_id, text FROM documents),
+lines AS (
+  SELECT rid, doc_id, line_no, line, regexp_matches(line, '[^\x20\x09-\x0D]') AS worded,
+         doc_id::HUGEINT * 2147483648 + line_no AS place
+  FROM (SELECT rid, doc_id, unnest(string_split(text, chr(10))) AS line,
+               unnest(range(len(string_split(text, chr(10))))) AS line_no
+        FROM numbered WHERE text IS NOT NULL)),
+contents AS (
+  SELECT line, length(line) AS n, min(place) AS place FROM lines
+  WHERE worded AND doc_id IS NOT NULL GROUP BY line),
+pairs AS (
+  SELECT a.place AS a_place, b.place AS b_place, a.line AS shorter, b.line AS longer, b.n - a.n AS more
+  FROM (SELECT *, unnest([n, n + 1]) AS other FROM contents WHERE n >= 20) a
+  JOIN contents b ON b.n = a.other AND (b.n > a.n OR a.place < b.place)
+  WHERE a.place <> b.place AND levenshtein(a.line, b.line) <= 4),
+near AS (
+  SELECT DISTINCT greatest(a_place, b_place) AS place, CASE WHEN a_place > b_place THEN shorter ELSE longer END AS line
+  FROM pairs
+  WHERE CASE WHEN more = 0
+    THEN list_sum(list_transform(range(1, length(shorter) + 1), lambda i: (shorter[i] <> longer[i])::INT)) <= 1
+    ELSE list_contains(list_transform(range(1, length(longer) + 1),
+                                      lambda i: substr(longer, 1, i - 1) || substr(longer, i + 1)), shorter) END),
+kept AS (SELECT DISTINCT place FROM (SELECT place, line FROM contents EXCEPT SELECT place, line FROM near)),
+judged AS (
+  SELECT rid, line_no, line, worded, (NOT worded OR doc_id IS NULL OR place IN (SELECT place FROM kept)) AS stays FROM lines)
+SELECT d.doc_id, count(*) FILTER (WHERE worded) AS n_lines,
+       count(*) FILTER (WHERE NOT stays) AS n_removed,
+       CASE WHEN any_value(d.text) IS NOT NULL
+            THEN coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (WHERE stays), '') END AS text
+FROM numbered d LEFT JOIN judged j ON d.rid = j.rid
+GROUP BY d.rid, d.doc_id
+"""
