@@ -203,3 +203,35 @@ SELECT d.doc_id, count(*) FILTER (WHERE worded) AS n_lines,
 FROM numbered d LEFT JOIN judged j ON d.rid = j.rid
 GROUP BY d.rid, d.doc_id
 """
+
+
+# Suffix deduplication: every 50-byte string by its hex digits; texts are read in chunks of 1,000 bytes.
+ORACLE_SQL["op2_suffix_dedup"] = """
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents
+), chunk AS (
+  SELECT rid, doc_id, c, substr(x, 2000 * c + 1, 2098) AS y
+  FROM (SELECT *, unnest(range((length(x) + 1999) // 2000)) AS c FROM d)
+), win AS MATERIALIZED (
+  SELECT rid, doc_id, 1000 * c + i AS p, substr(y, 2 * i + 1, 100) AS g
+  FROM (SELECT *, unnest(range(least(1000, length(y) // 2 - 49))) AS i FROM chunk WHERE length(y) >= 100)
+), shared AS (
+  SELECT g, min(doc_id) AS least_id FROM win GROUP BY g HAVING min(doc_id) < max(doc_id)
+), hit AS (
+  SELECT rid, p, CASE WHEN p <= lag(p) OVER (PARTITION BY rid ORDER BY p) + 50 THEN 0 ELSE 1 END AS opens
+  FROM win JOIN shared USING (g) WHERE least_id < doc_id
+), run AS (
+  SELECT rid, min(p) AS a, max(p) + 50 AS z
+  FROM (SELECT rid, p, sum(opens) OVER (PARTITION BY rid ORDER BY p) AS run FROM hit) GROUP BY rid, run
+), gap AS (
+  SELECT rid, a, z, coalesce(lag(z) OVER (PARTITION BY rid ORDER BY a), 0) AS last_z FROM run
+), cut AS (
+  SELECT rid, sum(z - a) AS n_removed, count(*) AS n_spans, max(z) AS z,
+         string_agg(substr(x, 2 * last_z + 1, 2 * (a - last_z)), '' ORDER BY a) AS head
+  FROM gap JOIN d USING (rid) GROUP BY rid
+)
+SELECT doc_id, CAST(length(x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(head, '') || substr(x, 2 * coalesce(z, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN cut USING (rid)
+"""
