@@ -15,6 +15,16 @@ from donorlens.functions.expressions import half_even_ratio, recipient_kind, zer
 from donorlens.schemas import CONTRIBUTION_COLUMNS, LARGE_ABOVE, SMALL_BELOW
 
 
+def dealt_out(df: DataFrame, keys: list[str]) -> DataFrame:
+    """The same rows in tasks of the session's advisory size, for an aggregate by nearly unique ``keys``.
+
+    Its map-side table would otherwise be built where the rows are made, beside the sorts of a join, over
+    narrow input that grows many times on the way. Equal keys of one source task stay together, those of
+    different tasks are spread, so a hot key is still combined before the aggregate's own shuffle.
+    """
+    return df.repartition(*keys, F.spark_partition_id())
+
+
 def distinct_values(df: DataFrame, column: str, sort: bool = False) -> DataFrame:
     out = df.select(column).distinct()
     return out.orderBy(column) if sort else out
@@ -84,7 +94,8 @@ def gender_contributions(df: DataFrame) -> DataFrame:
 
 def duplicate_contributions(df: DataFrame) -> DataFrame:
     """Identical contribution rows: (cycle, duplicated_rows, extra_copies)."""
-    copies = df.groupBy(*CONTRIBUTION_COLUMNS).agg(F.count(F.lit(1)).alias("_copies"))
+    rows = dealt_out(df.select(*CONTRIBUTION_COLUMNS), CONTRIBUTION_COLUMNS)
+    copies = rows.groupBy(*CONTRIBUTION_COLUMNS).agg(F.count(F.lit(1)).alias("_copies"))
     return (copies.where(F.col("_copies") > 1).groupBy("cycle")
             .agg(F.count(F.lit(1)).cast("long").alias("duplicated_rows"),
                  F.sum(F.col("_copies") - 1).cast("long").alias("extra_copies")))
