@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from donorlens.functions.expressions import is_candidate, is_committee
+from donorlens.operators.basic import dealt_out
 from donorlens.operators.rollup import is_pre_aggregated
 from donorlens.schemas import CONTRIBUTION_COLUMNS
 from donorlens.sources.tables import ContributionTables
@@ -80,7 +81,7 @@ def attribute_as_coded(tables: ContributionTables, facts: DataFrame | None = Non
     facts = tables.contributions if facts is None else facts
     if is_pre_aggregated(facts):
         raise ValueError("the as-coded party report needs the contributions themselves, not folded ones")
-    distinct_facts = facts.select(*CONTRIBUTION_COLUMNS).distinct()
+    distinct_facts = dealt_out(facts.select(*CONTRIBUTION_COLUMNS), CONTRIBUTION_COLUMNS).distinct()
     bridge = as_coded_bridge(tables)
     return (distinct_facts.join(bridge, F.col("recipient_id") == F.col("b_recipient"), "inner")
             .drop("b_recipient"))

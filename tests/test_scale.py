@@ -27,3 +27,9 @@ def test_duplicates_are_combined_over_dealt_out_rows(spark):
     df = basic.duplicate_contributions(_tables(spark).contributions)
     assert _partial_over_shuffle(df)
     assert [tuple(r) for r in df.collect()] == [(2000, 1, 5)]
+
+
+def test_distinct_contributions_by_party_are_combined_over_dealt_out_rows(spark):
+    df = parties.contributions_by_party(_tables(spark))
+    assert _partial_over_shuffle(parties.attribute_as_coded(_tables(spark)))
+    assert [tuple(r) for r in df.collect()] == [(2000, "D", 21, 5 + sum(range(1, 21)))]
