@@ -37,6 +37,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from donorlens.operators.basic import dealt_out
 from donorlens.operators.segments import DEFAULT_MEASURES, DEFAULT_SEGMENTS, Segment, StateMeasure, states_of
 
 ATTRIBUTED = "_attributed"
@@ -75,7 +76,7 @@ def state_aggregates(rows: DataFrame, segments, measures) -> list[Column]:
 def pre_aggregate(facts: DataFrame, by: list[str], *, segments: list[Segment] = DEFAULT_SEGMENTS,
                   measures: list = DEFAULT_MEASURES) -> DataFrame:
     """One row per value of ``by`` with the states of its contributions (combined map-side)."""
-    return facts.groupBy(*by).agg(*state_aggregates(facts, segments, measures))
+    return dealt_out(facts, by).groupBy(*by).agg(*state_aggregates(facts, segments, measures))
 
 
 def contributor_rollup(facts: DataFrame, keys: list[str], *, mode: str = "spec",

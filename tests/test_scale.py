@@ -33,3 +33,13 @@ def test_distinct_contributions_by_party_are_combined_over_dealt_out_rows(spark)
     df = parties.contributions_by_party(_tables(spark))
     assert _partial_over_shuffle(parties.attribute_as_coded(_tables(spark)))
     assert [tuple(r) for r in df.collect()] == [(2000, "D", 21, 5 + sum(range(1, 21)))]
+
+
+def test_folds_and_buckets_grow_in_number_not_in_size(spark, monkeypatch):
+    tables = _tables(spark)
+    assert _partial_over_shuffle(shared.fold(tables).contributions)
+    monkeypatch.setattr(shared, "BUCKET_ROWS", 3, raising=False)
+    stored = shared.store(shared.fold(tables), buckets=2)
+    assert {f.rsplit("_", 1)[1] for f in stored.contributions.inputFiles()} > {"00000.c000.snappy.parquet", "00001.c000.snappy.parquet"}
+    assert stored.contributions.count() == 21
+    assert [tuple(r) for r in reports.by_cycle(stored).collect()] == [tuple(r) for r in reports.by_cycle(tables).collect()]
