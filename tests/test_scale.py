@@ -35,6 +35,13 @@ def test_distinct_contributions_by_party_are_combined_over_dealt_out_rows(spark)
     assert [tuple(r) for r in df.collect()] == [(2000, "D", 21, 5 + sum(range(1, 21)))]
 
 
+def test_as_coded_party_report_over_dealt_out_rows(spark):
+    df = reports.by_cycle_by_party(_tables(spark), mode="as_coded")
+    assert "REPARTITION_BY_COL" in plan_text(df, "simple")
+    row = df.collect()[0]
+    assert row["TotalContributorSize"] == 21 and row["TotalAmountDonated"] == 5 + sum(range(1, 21))
+
+
 def test_folds_and_buckets_grow_in_number_not_in_size(spark, monkeypatch):
     tables = _tables(spark)
     assert _partial_over_shuffle(shared.fold(tables).contributions)
