@@ -15,10 +15,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from donorlens.operators import basic, industry, parties
 from donorlens.operators.segments import DEFAULT_MEASURES, Segment, largest_gift, sum_of_squares
 from donorlens.plans import checks, reports, shared
+from donorlens.schemas import TABLE_SCHEMAS
 from donorlens.session import scratch_path
 from donorlens.sinks import keyed
 from donorlens.sources import load, snapshots
-from donorlens.sources.files import read_csv_dir, read_parquet_dir, table_path, write_csv_dir
+from donorlens.sources.files import FILE_RECORDS, read_csv_dir, read_parquet_dir, table_path, write_csv_dir
 from donorlens.sources.star import load_star_tables
 from donorlens.sources.tables import ContributionTables, normalise_tables
 
@@ -59,11 +60,11 @@ def _load_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     folder = scratch_path(spark, f"rejects-{uuid.uuid4().hex}")
     tables = tables_for(spark, sf_dir)
-    write_csv_dir(tables, folder)
+    write_csv_dir(tables, folder, names=[name for name in TABLE_SCHEMAS if name != "individual_contributions"])
     lines = ("concat_ws(',', contributor_id, cycle, recipient_id, IF(abs(amount) % 3 = 0, 'some day', CAST(date AS STRING)), "
              "IF(abs(amount) % 5 = 0, 'n/a', CAST(amount AS STRING)), real_code, committee_id, other_id, gender, "
              "concat('\"', city, '\"'), state) || IF(abs(amount) % 7 = 0, '', ',' || zip)")
-    tables.contributions.select(F.expr(lines).alias("value")).write.mode("overwrite").text(
+    tables.contributions.select(F.expr(lines).alias("value")).write.option("maxRecordsPerFile", FILE_RECORDS).text(
         table_path(folder, "individual_contributions"))
     loaded = load.store_loaded(load.raw_csv_dir(spark, folder), f"{folder}-loaded")
     return load.load_report(spark, loaded.counts)

@@ -28,6 +28,8 @@ def _text_schema(schema: T.StructType) -> T.StructType:
 # Holds a record whose number of fields is wrong, whole; NULL otherwise.
 BAD_RECORD = "_bad_record"
 
+FILE_RECORDS = 400_000
+
 
 def read_csv_table(spark: SparkSession, path: str, schema: T.StructType, *, multiline: bool = True,
                    bad_records: bool = False) -> DataFrame:
@@ -83,16 +85,19 @@ def csv_rejects(spark: SparkSession, directory: str, suffix: str = ".csv", *,
 
 
 def write_csv_dir(tables: ContributionTables, directory: str, suffix: str = ".csv",
-                  mode: str = "overwrite") -> None:
-    """Write the tables in the extract layout (folders of part files, no header).
+                  mode: str = "overwrite", names: list[str] | None = None) -> None:
+    """Write the tables (or those in ``names``) in the extract layout (folders of part files, no header).
 
-    Every field is quoted, so that blanks at its ends survive the reader.
+    Every field is quoted, so that blanks at its ends survive the reader. A file with quoted line
+    breaks is read whole by one task, so no file holds more than ``FILE_RECORDS`` records.
     """
     for name, df in tables.items():
+        if names is not None and name not in names:
+            continue
         (df.write.mode(mode).option("header", "false").option("quote", '"').option("escape", '"')
          .option("quoteAll", "true").option("ignoreLeadingWhiteSpace", "false")
          .option("ignoreTrailingWhiteSpace", "false").option("emptyValue", "")
-         .csv(table_path(directory, name, suffix)))
+         .option("maxRecordsPerFile", FILE_RECORDS).csv(table_path(directory, name, suffix)))
 
 
 def _is_complete(spark: SparkSession, path: str) -> bool:

@@ -50,3 +50,16 @@ def test_folds_and_buckets_grow_in_number_not_in_size(spark, monkeypatch):
     assert {f.rsplit("_", 1)[1] for f in stored.contributions.inputFiles()} > {"00000.c000.snappy.parquet", "00001.c000.snappy.parquet"}
     assert stored.contributions.count() == 21
     assert [tuple(r) for r in reports.by_cycle(stored).collect()] == [tuple(r) for r in reports.by_cycle(tables).collect()]
+
+
+def test_load_rejects_writes_the_contributions_once(spark, sf_small, monkeypatch):
+    written = []
+
+    def write(tables, folder, *args, names=None, **options):
+        written.extend(n for n, _ in tables.items() if names is None or n in names)
+        return files.write_csv_dir(tables, folder, *args, **options, **({} if names is None else {"names": names}))
+
+    monkeypatch.setattr(queries, "write_csv_dir", write)
+    report = {(r["table_name"], r["metric"]): r["value"] for r in queries.QUERIES["load_rejects"](spark, sf_small).collect()}
+    assert sorted(written) == ["candidates", "committees", "industry_codes"]
+    assert report["individual_contributions", "record_rejects"] > 0
