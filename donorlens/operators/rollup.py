@@ -174,22 +174,28 @@ def grouping_report(facts: DataFrame, sets: dict[str, list[str]], *,
     Level 1 groups the facts once by all keys and the contributor; the grouping sets are taken over
     these contributor-level rows, so a contributor with several values of a finer key is one row of the
     coarser set and counts once there. An empty text is a value: sets are told apart by
-    ``grouping_id``, never by NULL.
+    ``grouping_id`` or their label, never by NULL.
     """
     if bad := [label for label, keys in sets.items() if "cycle" not in keys]:
         raise ValueError(f"every report is per cycle: {bad}")
     keys = ["cycle", *dict.fromkeys(k for s in sets.values() for k in s if k != "cycle")]
-    level1 = facts.groupBy(*keys, "contributor_id").agg(*state_aggregates(facts, segments, measures))
+    group = [*keys, "contributor_id"]
+    folded = is_pre_aggregated(facts)
+    if folded:  # combined before: its rows are grouped in tasks of the session's advisory size
+        facts = facts.repartition(*group)
+    level1 = facts.groupBy(*group).agg(*state_aggregates(facts, segments, measures))
     level1 = level1.withColumns({
         "first_cycle": F.min("cycle").over(Window.partitionBy("contributor_id")),
         "cycle_total": F.sum("_t").over(Window.partitionBy("contributor_id", "cycle"))})
-    columns = [*keys, "contributor_id"]
-    merged = level1.groupingSets([[*s, "contributor_id"] for s in sets.values()], *columns).agg(
+    if folded:
+        rows = _merged_by_place(level1, sets, group, segments, measures)
+        return aggregate_segments(rows, ["grouping", *keys], segments=segments, measures=measures)
+    merged = level1.groupingSets([[*s, "contributor_id"] for s in sets.values()], *group).agg(
         F.grouping_id().alias("_set"), *state_aggregates(level1, segments, measures),
         F.max("first_cycle").alias("first_cycle"), F.max("cycle_total").alias("cycle_total"))
     label = F.lit(None)
     for name, own in sets.items():
-        number = sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in (*own, "contributor_id"))
+        number = sum(1 << (len(group) - 1 - i) for i, c in enumerate(group) if c not in (*own, "contributor_id"))
         inside = F.col("_set") == number
         for k in own:
             if k != "cycle":
@@ -197,3 +203,27 @@ def grouping_report(facts: DataFrame, sets: dict[str, list[str]], *,
         label = F.when(inside, F.lit(name)).otherwise(label)
     rows = merged.withColumn("grouping", label).where(F.col("grouping").isNotNull())
     return aggregate_segments(rows, ["grouping", *keys], segments=segments, measures=measures)
+
+
+def _merged_by_place(level1: DataFrame, sets: dict[str, list[str]], group: list[str], segments, measures) -> DataFrame:
+    """Level-1 rows merged per grouping set (``grouping``), its keys and contributor.
+
+    A row is taken to the sets that hold it, and these rows are shuffled to their groups before they
+    are merged: merging beside the windows would need a table of all sets over the windows' narrow input.
+    """
+    places = []
+    for name, own in sets.items():
+        place = F.struct(F.lit(name).alias("grouping"),
+                         *[(F.col(k) if k in own else F.lit(None).cast(level1.schema[k].dataType)).alias(k)
+                           for k in group[:-1]])
+        inside = F.lit(True)
+        for k in own:
+            if k != "cycle":
+                inside = inside & F.col(k).isNotNull()
+        places.append(F.when(inside, place))
+    rows = level1.select(*[c for c in level1.columns if c not in group[:-1]],
+                         F.explode(F.array_compact(F.array(*places))).alias("_place"))
+    rows = rows.select("_place.*", *[c for c in rows.columns if c != "_place"]).repartition("grouping", *group)
+    return rows.groupBy("grouping", *group).agg(
+        *state_aggregates(rows, segments, measures),
+        F.max("first_cycle").alias("first_cycle"), F.max("cycle_total").alias("cycle_total"))

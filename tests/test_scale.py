@@ -52,6 +52,16 @@ def test_folds_and_buckets_grow_in_number_not_in_size(spark, monkeypatch):
     assert [tuple(r) for r in reports.by_cycle(stored).collect()] == [tuple(r) for r in reports.by_cycle(tables).collect()]
 
 
+def test_grouping_sets_are_not_merged_beside_the_windows(spark):
+    tables = _tables(spark)
+    rows = parties.attribute_spec(tables, shared.fold(tables).contributions)
+    df = grouping_report(rows, {"all": ["cycle"], "party": ["cycle", "party"]})
+    assert "Expand" not in plan_text(df, "simple")
+    got = {r["grouping"]: r["TotalAmountDonated"] for r in df.collect()}
+    total = segment_report(tables.contributions, ["cycle"]).collect()[0]["TotalAmountDonated"]
+    assert got == {"all": total, "party": total}
+
+
 def test_load_rejects_writes_the_contributions_once(spark, sf_small, monkeypatch):
     written = []
 
