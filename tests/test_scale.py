@@ -62,6 +62,15 @@ def test_grouping_sets_are_not_merged_beside_the_windows(spark):
     assert got == {"all": total, "party": total}
 
 
+def test_csv_files_hold_a_bounded_number_of_records(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "FILE_RECORDS", 4, raising=False)
+    tables = _tables(spark)
+    files.write_csv_dir(tables.with_contributions(tables.contributions.coalesce(1)), str(tmp_path))
+    sizes = [len(p.read_text().splitlines()) for p in (tmp_path / "individual_contributions.csv").glob("*.csv")]
+    assert sum(sizes) == 26 and max(sizes) <= 4
+    assert files.read_csv_dir(spark, str(tmp_path)).contributions.count() == 26
+
+
 def test_load_rejects_writes_the_contributions_once(spark, sf_small, monkeypatch):
     written = []
 
