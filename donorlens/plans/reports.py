@@ -7,6 +7,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, functions as F
 
 from donorlens.operators import industry, parties, topk
+from donorlens.operators.basic import dealt_out
 from donorlens.operators.rollup import segment_report
 from donorlens.operators.segments import DEFAULT_MEASURES, DEFAULT_SEGMENTS, Measure, Segment
 from donorlens.sources.tables import ContributionTables
@@ -34,7 +35,8 @@ def by_cycle_by_party(tables: ContributionTables, *, mode: str = "spec",
     """
     keys = ["cycle", "party"]
     if mode == "as_coded":
-        facts = parties.attribute_as_coded(tables)
+        # the contributors' table is not built beside that of the distinct contributions
+        facts = dealt_out(parties.attribute_as_coded(tables), [*keys, "contributor_id"])
         report = segment_report(facts, keys, mode=mode, segments=segments, measures=measures,
                                 carry_max=["proven"])
         return report.where(F.col("proven")).drop("proven")

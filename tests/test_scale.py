@@ -42,6 +42,13 @@ def test_as_coded_party_report_over_dealt_out_rows(spark):
     assert row["TotalContributorSize"] == 21 and row["TotalAmountDonated"] == 5 + sum(range(1, 21))
 
 
+def test_as_coded_contributors_are_not_merged_beside_the_distinct_contributions(spark):
+    lines = plan_text(reports.by_cycle_by_party(_tables(spark), mode="as_coded"), "simple").splitlines()
+    partial = [i for i, line in enumerate(lines)
+               if "HashAggregate(keys=[cycle" in line and "contributor_id" in line and "partial_" in line]
+    assert partial and all("REPARTITION_BY_COL" in "".join(lines[i + 1:i + 3]) for i in partial)
+
+
 def test_folds_and_buckets_grow_in_number_not_in_size(spark, monkeypatch):
     tables = _tables(spark)
     assert _partial_over_shuffle(shared.fold(tables).contributions)
