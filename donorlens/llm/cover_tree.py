@@ -29,6 +29,7 @@ empty table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +45,7 @@ UPPER_NODES = 8         # ... and at least, where there are vectors enough: task
 NODE_BYTES = 32 << 20   # vectors (as doubles) of an upper node that a task holds
 PAIRS = 1 << 18         # node pairs looked at at once
 SLACK = 1e-7            # on distances in bounds: above the rounding of doubles (1.5e-8 near 0) ...
-SLACK_32 = 1e-4         # ... and of single-precision products, which only screen
+SLACK_32 = 1e-4         # ... and of single-precision products, which only screen; a tenth of it on the products
 
 
 # -- trees in a task ----------------------------------------------------------------------
@@ -175,19 +176,27 @@ def traverse(one: Tree, two: Tree | None, threshold: float) -> Links:
     # one level below the last stand the single vectors
     centres = [[*t.centres, np.arange(len(t.x))] for t in (one, other)]
     radius = [[*t.radii, np.zeros(len(t.x))] for t in (one, other)]
-    small = [t.x.astype(np.float32) for t in ((one, one) if same else (one, other))]
+
+    @cache
+    def screen(side, level):
+        """The centres of a level's nodes with three more columns: the product of a row of side 0 and one of side 1 is
+        cosine + (radius + radius' + reach) ** 2 / 2, at least 1 where the bound leaves the pair open."""
+        x, r = (one, other)[side].x[centres[side][level]], radius[side][level]
+        r = r if side else r + reach + SLACK_32
+        flat = np.ones(len(r))
+        more = (r, r * r / 2, flat) if side else (r, flat, r * r / 2)
+        return np.column_stack([x, *more]).astype(np.float32)
 
     def cross(level, a, b):
         """Pairs of two runs of nodes that the bound leaves open, by blocks of a matrix product."""
+        left, right = screen(0, level), screen(1, level)
         for i in range(0, len(a), 1024):
             own = a[i:i + 1024]
             for j in range(0, len(b), 4096):
                 far = b[j:j + 4096]
                 if same and far[-1] < own[0]:
                     continue
-                cosine = small[0][centres[0][level][own]] @ small[1][centres[1][level][far]].T
-                bound = np.minimum(radius[0][level][own][:, None] + radius[1][level][far][None, :] + reach + SLACK_32, 2.0)
-                x, y = np.nonzero(cosine >= 1 - bound * bound / 2)
+                x, y = np.divmod(np.flatnonzero(left[own] @ right[far].T >= 1 - SLACK_32 / 10), len(far))
                 x, y = own[x], far[y]
                 if same:
                     once = x <= y
@@ -244,7 +253,9 @@ def traverse(one: Tree, two: Tree | None, threshold: float) -> Links:
         np.add.at(links.count, j[two_sided] + shift, one.weight[i[two_sided]])
         links.join(i, j + shift)
 
-    stack = [cross(0, np.arange(len(one.starts[0])), np.arange(len(other.starts[0])))]
+    # levels that hardly divide the nodes above are skipped: their products cost as much, their radii bound less
+    start = max(k for k in range(last + 1) if all(len(t.starts[k]) <= 1.1 * len(t.starts[0]) for t in (one, other)))
+    stack = [cross(start, np.arange(len(one.starts[start])), np.arange(len(other.starts[start])))]
     while stack:
         pairs = next(stack[-1], None)
         if pairs is None:
