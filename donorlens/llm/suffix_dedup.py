@@ -47,16 +47,18 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from donorlens.llm.common import exactly, stage
+from donorlens.llm.common import batches_of, discard, exactly, stage
 
 LENGTH = 50
 GRAM = 20
 RUN = 64
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 HOT = 20_000
 FILTER_BITS = 30     # bits of the largest filter: 128 MB
 CHUNK = 1 << 17      # windows keyed at once: bounds the memory of a very long text
 TEXTS = 512          # texts keyed end to end
+BATCH = 1_000        # texts that cross to Python at a time
+CUT_BYTES = 1 << 20  # bytes of runs cut from their texts at once
 HELD = 1_000_000     # keys a task holds before it passes them on
 BUCKET_BYTES = 1 << 25  # bytes of text whose keys make a bucket
 
@@ -355,16 +357,21 @@ def _snippets(texts: DataFrame, wanted) -> DataFrame:
                 data, bounds = _end_to_end(part.column(1))
                 runs = window_runs(data, bounds)
                 kept = wanted(runs[1])
-                owner, keys, start, n = (c[kept] for c in runs)
-                size = n + LENGTH - 1
-                ends = np.cumsum(size)
-                found = data[np.arange(size.sum()) + np.repeat(start - ends + size, size)]
-                s = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(n), [
-                    None, pa.py_buffer(np.r_[0, ends].astype(np.int64)), pa.py_buffer(found)]).cast(pa.binary())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys.view(np.int64)), pa.array(part.column(0).to_numpy()[owner]),
-                     pa.array(part.column(2).to_numpy()[owner] | (start - bounds[owner])), pa.array(n.astype(np.int32)), s],
-                    names=["m", "doc", "place", "n", "s"])
+                runs = [c[kept] for c in runs]
+                before = np.cumsum(runs[3] + LENGTH - 1) // CUT_BYTES
+                for at in np.split(np.arange(len(before)), np.flatnonzero(np.diff(before)) + 1):
+                    yield cut(part, data, bounds, *(c[at] for c in runs))
+
+    def cut(part, data, bounds, owner, keys, start, n):
+        size = n + LENGTH - 1
+        ends = np.cumsum(size)
+        found = data[np.arange(size.sum()) + np.repeat(start - ends + size, size)]
+        s = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(n), [
+            None, pa.py_buffer(np.r_[0, ends].astype(np.int64)), pa.py_buffer(found)]).cast(pa.binary())
+        return pa.RecordBatch.from_arrays(
+            [pa.array(keys.view(np.int64)), pa.array(part.column(0).to_numpy()[owner]),
+             pa.array(part.column(2).to_numpy()[owner] | (start - bounds[owner])), pa.array(n.astype(np.int32)), s],
+            names=["m", "doc", "place", "n", "s"])
 
     return _long(texts).select("doc_id", "text", "tag").mapInArrow(run, "m long, doc long, place long, n int, s binary")
 
@@ -409,9 +416,11 @@ def _judge(classes: DataFrame) -> DataFrame:
 
 def removed_ranges(texts: DataFrame) -> DataFrame:
     """(doc_id, tag, ranges): per document with removals its runs as (start, n, seen); a null ``seen``
-    stands for all windows of the run."""
+    stands for all windows of the run. Staged; what was staged on the way goes as soon as it is used."""
     bits = _bucket_bits(texts)
-    hit = Filter(stage(_shared_keys(texts, bits), "shared-keys")).probe()
+    shared = stage(_shared_keys(texts, bits), "shared-keys")
+    hit = Filter(shared).probe()
+    discard(shared)
     runs = _snippets(texts, lambda keys: hit(_places(keys, bits).view(np.uint64)))
     # a wide dictionary: few bytes for what the runs of a document have in common
     wide = {"parquet.dictionary.page.size": 16 << 20, "parquet.block.size": 32 << 20}
@@ -420,7 +429,7 @@ def removed_ranges(texts: DataFrame) -> DataFrame:
                                        F.max("c").alias("other")).where("first < last").drop("last"), "keys-of-several")
     mixed = Filter(stage(keys.where("c <> other").select("m"), "mixed-keys")).probe()
     snippets = _snippets(texts, mixed).withColumn("c", F.xxhash64("s"))
-    classes = stage(snippets.groupBy("m", "c", "s").agg(F.min("doc").alias("first")), "snippet-classes")
+    classes = told = stage(snippets.groupBy("m", "c", "s").agg(F.min("doc").alias("first")), "snippet-classes")
     hot = stage(classes.groupBy("m").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > HOT), "hot-keys")
     places = runs
     if not hot.isEmpty():
@@ -431,12 +440,16 @@ def removed_ranges(texts: DataFrame) -> DataFrame:
                   .unionByName(single.select("m", "c", "doc", "place", "n")))
     # a key of equal runs has no windows that a smaller document has, but its copies' own
     alike = keys.where("c = other").selectExpr("m", "c", "first", "CAST(NULL AS BINARY) AS seen")
-    judged = stage(_judge(classes), "judged-snippets").unionByName(alike)
-    gone = places.join(judged, ["m", "c"]).where("doc > first OR hex(seen) RLIKE '[1-9A-F]'")
+    judged = stage(_judge(classes), "judged-snippets")
+    discard(told)
+    gone = places.join(judged.unionByName(alike), ["m", "c"]).where("doc > first OR hex(seen) RLIKE '[1-9A-F]'")
     gone = gone.selectExpr("doc AS doc_id", "shiftleft(shiftright(place, 32), 32) AS tag",
                            "place & 4294967295 AS start", "n", "CASE WHEN doc = first THEN seen END AS seen")
     # equal rows of a document have equal ranges
-    return gone.groupBy("doc_id", "tag").agg(F.collect_set(F.struct("start", "n", "seen")).alias("ranges"))
+    ranges = gone.groupBy("doc_id", "tag").agg(F.collect_set(F.struct("start", "n", "seen")).alias("ranges"))
+    ranges = stage(ranges, "removed-ranges")
+    discard(runs, keys, judged)
+    return ranges
 
 
 def cut_out(raw: bytes, ranges: list[dict] | None) -> tuple[bytes, int]:
@@ -472,23 +485,27 @@ def deduplicate(docs: DataFrame) -> DataFrame:
                     names=["doc_id", "n_bytes", "n_spans", "kept"])
 
     schema = "doc_id long, n_bytes long, n_spans long, kept binary"
-    ranges = stage(removed_ranges(texts), "removed-ranges")
+    with batches_of(docs.sparkSession, BATCH):
+        ranges = removed_ranges(texts)
     name = F.xxhash64("doc_id", "tag")
     touched = Filter(stage(ranges.select(name.alias("h")), "touched-documents")).probe()
 
-    def untouched(batches: Iterator[pa.RecordBatch], wanted: bool) -> Iterator[pa.RecordBatch]:
+    def pick(batches: Iterator[pa.RecordBatch], wanted: bool) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hit = touched(batch.column(3).to_numpy().view(np.uint64))
             yield batch.filter(pa.array(hit if wanted else ~hit))
 
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return run(b.set_column(2, "ranges", pa.nulls(b.num_rows)) for b in pick(batches, False))
+
     marked = texts.withColumn("h", name)
-    plain = marked.mapInArrow(lambda b: untouched(b, False), marked.schema).select(
-        "doc_id", "text", F.lit(None).cast(ranges.schema["ranges"].dataType).alias("ranges"))
-    changed = marked.mapInArrow(lambda b: untouched(b, True), marked.schema)
+    changed = marked.mapInArrow(lambda b: pick(b, True), marked.schema)
     joined = changed.join(ranges, ["doc_id", "tag"], "left").select("doc_id", "text", "ranges")
-    return plain.mapInArrow(run, schema).unionByName(joined.mapInArrow(run, schema))
+    return marked.mapInArrow(whole, schema).unionByName(joined.mapInArrow(run, schema))
 
 
 def query(docs: DataFrame) -> DataFrame:
-    return deduplicate(docs).select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
-                                    "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    digests = deduplicate(docs).select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+                                       "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    with batches_of(docs.sparkSession, BATCH):
+        return stage(digests, "suffix-digests")
