@@ -59,10 +59,10 @@ def pack_bits(values: np.ndarray, width: int) -> bytes:
 def unpack_bits(raw: bytes, n: int, width: int) -> np.ndarray:
     if not width:
         return np.zeros(n, dtype=np.uint32)
-    bits = np.unpackbits(np.frombuffer(raw, np.uint8), count=n * width, bitorder="little").reshape(n, width)
-    wide = np.zeros((n, 32), dtype=np.uint8)
-    wide[:, :width] = bits
-    return np.packbits(wide, axis=1, bitorder="little").view("<u4").reshape(n)
+    bit = np.arange(n, dtype=np.int64) * width
+    windows = np.ndarray(len(raw), "<u8", raw + bytes(8), strides=(1,))  # the 8 bytes from every byte on
+    values = windows[bit >> 3] >> (bit & 7).astype(np.uint64)
+    return (values & np.uint64((1 << width) - 1)).astype(np.uint32)
 
 
 def encode_block(ids: np.ndarray, percentile: float = PERCENTILE) -> bytes:
@@ -229,9 +229,9 @@ def word_encoder(path: str) -> Callable:
     """An encoder factory for the lower-casing word vocabulary at ``path``."""
 
     def make():
-        from donorlens.llm.tokens import piece_tokenizer
+        from donorlens.llm.tokens import word_tokenizer
 
-        return piece_tokenizer(path, keeps_blanks=False, word_end="</w>").encode
+        return word_tokenizer(path).encode
 
     return make
 
