@@ -36,7 +36,7 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from donorlens.llm.common import exactly, stage
+from donorlens.llm.common import by_value, exactly, stage
 from donorlens.llm.components import components
 
 THRESHOLD = 0.95
@@ -322,29 +322,13 @@ def _assigned(vectors: DataFrame, centres: dict[int, tuple[np.ndarray, np.ndarra
     return vectors.select("key", "weight", "dim", "embedding").mapInArrow(run, schema)
 
 
-def _by(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.Table]:
-    """The sorted rows, one table per value of a column."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        value = batch.column(column).to_numpy()
-        cuts = [0, *(np.flatnonzero(value[1:] != value[:-1]) + 1).tolist(), len(value)]
-        for a, b in zip(cuts, cuts[1:]):
-            if held and a < b and held[-1].column(column)[0].as_py() != value[a]:
-                yield pa.Table.from_batches(held)
-                held = []
-            if a < b:
-                held.append(batch.slice(a, b - a))
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 def _members(nodes: DataFrame, threshold: float) -> DataFrame:
     """The vectors of every node (node, key, weight, embedding) with their lower tree: row in the node, path. Staged."""
     schema = T.StructType([*nodes.schema.fields, T.StructField("row", T.IntegerType()),
                            T.StructField("path", T.ArrayType(T.IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _by(batches, 0):
+        for table in by_value(batches, 0):
             path = build(unit(_rows(table.column("embedding").combine_chunks())), threshold)
             flat = pa.ListArray.from_arrays(pa.array(np.arange(len(path) + 1) * path.shape[1], pa.int32()), pa.array(path.ravel()))
             grown = pa.Table.from_arrays([*table.columns, pa.array(np.arange(len(path), dtype=np.int32)), flat],
@@ -359,7 +343,7 @@ def _solved(sides: DataFrame, threshold: float) -> DataFrame:
     """(key, n, root) of the node pairs in ``sides`` (task, side, row, key, weight, path, embedding). Staged."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _by(batches, 0):
+        for table in by_value(batches, 0):
             side, row = table.column("side").to_numpy(), table.column("row").to_numpy()
             table = table.take(pa.array(np.lexsort((row, side))))
             cut = int((side == 0).sum())
