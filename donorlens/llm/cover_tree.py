@@ -15,9 +15,11 @@ halving radii, every point within its level's radius of its centre, the centres
 apart than that. The upper node pairs are bounded first; the open ones go to tasks that traverse
 both lower trees. Tasks return link counts per vector and a spanning forest, never pairs.
 
-A bound holds whatever the data; how much it prunes depends on them. Vectors that are far apart in
-many dimensions have no structure to prune: there the node pairs of the first level are all
-looked at, by matrix products, and the work grows with the square of such vectors.
+A bound holds whatever the data; how much it prunes depends on them. So a traversal starts at the level
+where a sample of its node pairs says it is cheapest. There all node pairs are screened by matrix products,
+over the few directions in which the vectors differ most and the length of the rest where that prunes
+enough. Vectors that are far apart in many dimensions have no structure to prune beyond that, and
+this work grows with the square of such vectors.
 
 Defined results: a vector that is null, empty, zero, or holds null or non-finite components links
 with nothing (n_links 0, its own component); vectors of different lengths do not link; repeated rows link
@@ -43,7 +45,11 @@ THRESHOLD = 0.95
 CENTRES = 1024          # upper nodes at most (the sample is this many vectors)
 UPPER_NODES = 8         # ... and at least, where there are vectors enough: tasks for the node pairs
 NODE_BYTES = 32 << 20   # vectors (as doubles) of an upper node that a task holds
+SOLVERS = 4096          # partitions for the node pairs at most
+PRODUCTS = 1 << 26      # pairs of vectors that are worth a partition
 PAIRS = 1 << 18         # node pairs looked at at once
+PROBE = 1024            # nodes of a side that tell how well the bounds of a level prune
+COLUMN_NS, PRODUCT_NS, PAIR_NS = 0.03, 0.4, 150  # of a column of a screening product, its result, an open node pair
 SLACK = 1e-7            # on distances in bounds: above the rounding of doubles (1.5e-8 near 0) ...
 SLACK_32 = 1e-4         # ... and of single-precision products, which only screen; a tenth of it on the products
 
@@ -63,26 +69,49 @@ def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(2 - 2 * (a @ b.T), 0))
 
 
+def _nearest(x: np.ndarray, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per row of ``x`` the row of ``points`` with the largest product, and the product."""
+    near, best, every = np.zeros(len(x), np.int64), np.full(len(x), -2, x.dtype), np.arange(len(x))
+    for j in range(0, len(points), 2048):
+        product = x @ points[j:j + 2048].T
+        k = product.argmax(axis=1)
+        value = product[every, k]
+        more = value > best
+        near[more], best[more] = k[more] + j, value[more]
+    return near, best
+
+
 def _net(x: np.ndarray, members: np.ndarray, radius: float) -> np.ndarray:
     """For ``members`` (the first is the parent's centre) the member at whose centre each lies: every one
-    within ``radius`` of its centre, centres farther apart than that. Blocks by matrix products."""
+    within ``radius`` of its centre, centres farther apart than that. Blocks by matrix products, in single
+    precision against the centres so far; what that leaves open is decided in doubles."""
     owner = np.full(len(members), -1)
     centres: list[int] = []
+    own, flat = x[members], x[members].astype(np.float32)
+    points, least = np.empty_like(flat), 1 - radius * radius / 2
     for start in range(0, len(members), 512):
         block = np.arange(start, min(start + 512, len(members)))
         if centres:
-            far = distances(x[members[block]], x[members[centres]])
-            near = far.argmin(axis=1)
-            fits = far[np.arange(len(block)), near] <= radius
-            owner[block[fits]] = np.asarray(centres)[near[fits]]
+            near, best = _nearest(flat[block], points[:len(centres)])
+            near = np.asarray(centres)[near]
+            fits = np.sqrt(((own[block] - own[near]) ** 2).sum(axis=1)) <= radius
+            for i in np.flatnonzero(~fits & (best > least - SLACK_32)):
+                far = distances(own[block[i:i + 1]], own[centres])[0]
+                near[i], fits[i] = centres[far.argmin()], far.min() <= radius
+            owner[block[fits]] = near[fits]
             block = block[~fits]
-        inner = distances(x[members[block]], x[members[block]]) if len(block) else None
-        for i, m in enumerate(block):
-            if owner[m] < 0:
-                mine = (inner[i] <= radius) & (owner[block] < 0)
-                mine[i] = True
-                owner[block[mine]] = m
-                centres.append(m)
+        before = len(centres)
+        if len(block):
+            inner = distances(own[block], own[block]) <= radius
+            inner[np.arange(len(block)), np.arange(len(block))] = True
+            alone = inner.sum(axis=1) == 1
+            owner[block[alone]] = block[alone]
+            centres += block[alone].tolist()
+            for i in np.flatnonzero(~alone):
+                if owner[block[i]] < 0:
+                    owner[block[inner[i] & (owner[block] < 0)]] = block[i]
+                    centres.append(int(block[i]))
+        points[before:len(centres)] = flat[centres[before:]]
     return members[owner]
 
 
@@ -121,7 +150,9 @@ class Tree:
             new = new | np.r_[True, path[1:, level] != path[:-1, level]]
             starts = np.flatnonzero(new)
             centre = path[starts, level]
-            gap = np.sqrt(np.maximum(((self.x - self.x[path[:, level]]) ** 2).sum(axis=1), 0))
+            off = np.flatnonzero(path[:, level] != np.arange(len(x)))
+            gap = np.zeros(len(x))
+            gap[off] = np.sqrt(((self.x[off] - self.x[path[off, level]]) ** 2).sum(axis=1))
             if self.starts:
                 self.children.append(np.searchsorted(starts, np.r_[self.starts[-1], len(x)]))
             self.starts.append(starts)
@@ -164,6 +195,12 @@ class Links:
         self.count = (self.count + np.cumsum(self.ranged))[:-1]
 
 
+def _basis(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Orthogonal columns, those first in which vectors of the two sides differ most."""
+    probe = np.concatenate([v[::-(-len(v) // PROBE)] for v in (x, y)])
+    return np.linalg.eigh(np.cov(probe.T, bias=True).reshape(probe.shape[1], -1))[1][:, ::-1]
+
+
 def traverse(one: Tree, two: Tree | None, threshold: float) -> Links:
     """Links between two trees, or inside one (``two`` None), where a vector links to itself, too."""
     same = two is None
@@ -177,32 +214,72 @@ def traverse(one: Tree, two: Tree | None, threshold: float) -> Links:
     centres = [[*t.centres, np.arange(len(t.x))] for t in (one, other)]
     radius = [[*t.radii, np.zeros(len(t.x))] for t in (one, other)]
 
-    @cache
-    def screen(side, level):
-        """The centres of a level's nodes with three more columns: the product of a row of side 0 and one of side 1 is
-        cosine + (radius + radius' + reach) ** 2 / 2, at least 1 where the bound leaves the pair open."""
-        x, r = (one, other)[side].x[centres[side][level]], radius[side][level]
+    counts = [[len(c) for c in side] for side in centres]
+    basis = _basis(one.x, other.x)
+    lead = basis.shape[1]  # the columns of a screening product
+
+    def columns(side, level, lead, at=slice(None)):
+        """Nodes of a level as rows whose product, of a row of side 0 and one of side 1, is at least 1 where the bound
+        leaves the pair open: cosine + (radius + radius' + reach) ** 2 / 2, with the product of the lengths
+        (never less) for that of the components behind the first ``lead``."""
+        x, r = (one, other)[side].x[centres[side][level][at]] @ basis, radius[side][level][at]
+        rest = np.sqrt((x[:, lead:] ** 2).sum(axis=1))
         r = r if side else r + reach + SLACK_32
         flat = np.ones(len(r))
         more = (r, r * r / 2, flat) if side else (r, flat, r * r / 2)
-        return np.column_stack([x, *more]).astype(np.float32)
+        return np.column_stack([x[:, :lead], rest, *more]).astype(np.float32)
+
+    @cache
+    def screen(side, level):
+        return columns(side, level, lead)
+
+    def open_share(level, lead):
+        """The share of a level's node pairs that a screening product leaves open, on evenly spaced nodes."""
+        left, right = (columns(side, level, lead, np.unique((np.arange(min(n, PROBE)) + 0.5 * side * (n > PROBE))
+                                                            * n // min(n, PROBE)).astype(int)) for side, n in enumerate(
+            (counts[0][level], counts[1][level])))
+        return np.count_nonzero(left @ right.T >= 1 - SLACK_32 / 10) / (len(left) * len(right))
+
+    def plan():
+        """The level at which the traversal starts and the columns of its products: the cheapest by the shares."""
+        pairs = [a * b for a, b in zip(*counts)]
+        shares = [open_share(level, lead) for level in range(last + 2)]
+        below = np.r_[[PAIR_NS * s * n for s, n in zip(shares[:-1], pairs[1:])], 0][::-1].cumsum()[::-1]
+        cost = [(PRODUCT_NS + COLUMN_NS * lead + PAIR_NS * s) * n + more for s, n, more in zip(shares, pairs, below)]
+        start = int(np.argmin(cost))
+        tried = [m for m in (8, 12, 16, 24, 32, 48, 64, 96, 128, 192, 256) if m < lead]
+        price = {m: COLUMN_NS * m + PAIR_NS * open_share(start, m) for m in (*tried, lead)}
+        return start, min(price, key=price.get)
 
     def cross(level, a, b):
         """Pairs of two runs of nodes that the bound leaves open, by blocks of a matrix product."""
         left, right = screen(0, level), screen(1, level)
-        for i in range(0, len(a), 1024):
-            own = a[i:i + 1024]
-            for j in range(0, len(b), 4096):
-                far = b[j:j + 4096]
+        held, size = [], 0
+        for i in range(0, len(a), 512):
+            own = a[i:i + 512]
+            for j in range(0, len(b), 1024):
+                far = b[j:j + 1024]
                 if same and far[-1] < own[0]:
                     continue
-                x, y = np.divmod(np.flatnonzero(left[own] @ right[far].T >= 1 - SLACK_32 / 10), len(far))
-                x, y = own[x], far[y]
+                hit = left[own] @ right[far].T >= 1 - SLACK_32 / 10
+                rows = np.flatnonzero(hit.any(axis=1))
+                x, y = np.divmod(np.flatnonzero(hit[rows]), len(far))
+                x, y = own[rows[x]], far[y]
                 if same:
                     once = x <= y
                     x, y = x[once], y[once]
-                for k in range(0, len(x), PAIRS):
-                    yield level, x[k:k + PAIRS], y[k:k + PAIRS]
+                held.append((x, y))
+                size += len(x)
+                if size >= PAIRS:
+                    yield from whole(level, held)
+                    held, size = [], 0
+        if size:
+            yield from whole(level, held)
+
+    def whole(level, held):
+        x, y = (np.concatenate(c) for c in zip(*held))
+        for k in range(0, len(x), PAIRS):
+            yield level, x[k:k + PAIRS], y[k:k + PAIRS]
 
     def children(level, a, b):
         kids_a, kids_b = one.children[level], other.children[level]
@@ -253,9 +330,8 @@ def traverse(one: Tree, two: Tree | None, threshold: float) -> Links:
         np.add.at(links.count, j[two_sided] + shift, one.weight[i[two_sided]])
         links.join(i, j + shift)
 
-    # levels that hardly divide the nodes above are skipped: their products cost as much, their radii bound less
-    start = max(k for k in range(last + 1) if all(len(t.starts[k]) <= 1.1 * len(t.starts[0]) for t in (one, other)))
-    stack = [cross(start, np.arange(len(one.starts[start])), np.arange(len(other.starts[start])))]
+    start, lead = plan()
+    stack = [cross(start, *(np.arange(side[start]) for side in counts))]
     while stack:
         pairs = next(stack[-1], None)
         if pairs is None:
@@ -277,17 +353,16 @@ def traverse(one: Tree, two: Tree | None, threshold: float) -> Links:
 
 # -- over Spark -----------------------------------------------------------------------------
 
-def unit(vectors: list[np.ndarray]) -> np.ndarray:
+def unit(vectors: np.ndarray) -> np.ndarray:
     """Rows of length 1, in doubles; scaled by their largest component first, so no norm overflows."""
     x = np.asarray(vectors, np.float64)
     x = x / np.abs(x).max(axis=1, keepdims=True)
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def _rows(column: pa.ListArray) -> list[np.ndarray]:
-    flat = column.flatten().to_numpy(zero_copy_only=False)
-    ends = np.cumsum(np.r_[0, np.asarray(pa.compute.list_value_length(column))])
-    return [flat[a:b] for a, b in zip(ends, ends[1:])]
+def _matrix(column: pa.ListArray) -> np.ndarray:
+    """The rows of a column of lists of one length."""
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
 def distinct_vectors(rows: DataFrame) -> DataFrame:
@@ -306,13 +381,13 @@ def _assigned(vectors: DataFrame, centres: dict[int, tuple[np.ndarray, np.ndarra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            dims, rows = batch.column(2).to_numpy(), _rows(batch.column(3))
-            centre, gap = np.full(len(rows), -1, np.int32), np.full(len(rows), 2.0)
+            dims = batch.column(2).to_numpy()
+            centre, gap = np.full(len(dims), -1, np.int32), np.full(len(dims), 2.0)
             for dim in np.unique(dims):
                 at = np.flatnonzero(dims == dim)
                 if int(dim) in centres:
                     names, points = centres[int(dim)]
-                    x = unit([rows[i] for i in at])
+                    x = unit(_matrix(batch.column(3).take(pa.array(at))))
                     near = (x @ points.T).argmax(axis=1)
                     centre[at] = names[near]
                     gap[at] = np.sqrt(((x - points[near]) ** 2).sum(axis=1))
@@ -329,7 +404,7 @@ def _members(nodes: DataFrame, threshold: float) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in by_value(batches, 0):
-            path = build(unit(_rows(table.column("embedding").combine_chunks())), threshold)
+            path = build(unit(_matrix(table.column("embedding").combine_chunks())), threshold)
             flat = pa.ListArray.from_arrays(pa.array(np.arange(len(path) + 1) * path.shape[1], pa.int32()), pa.array(path.ravel()))
             grown = pa.Table.from_arrays([*table.columns, pa.array(np.arange(len(path), dtype=np.int32)), flat],
                                          names=[*table.column_names, "row", "path"])
@@ -339,8 +414,9 @@ def _members(nodes: DataFrame, threshold: float) -> DataFrame:
     return stage(dealt.mapInArrow(run, schema), "cover-trees")
 
 
-def _solved(sides: DataFrame, threshold: float) -> DataFrame:
-    """(key, n, root) of the node pairs in ``sides`` (task, side, row, key, weight, path, embedding). Staged."""
+def _solved(sides: DataFrame, threshold: float, partitions: int) -> DataFrame:
+    """(key, n, root) of the node pairs in ``sides`` (task, side, row, key, weight, path, embedding). Staged.
+    Their work is not told by their bytes, so the number of partitions is fixed here."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in by_value(batches, 0):
@@ -352,7 +428,7 @@ def _solved(sides: DataFrame, threshold: float) -> DataFrame:
                 if a < b:
                     part = table.slice(a, b - a)
                     path = part.column("path").combine_chunks().flatten().to_numpy().reshape(b - a, -1)
-                    tree = Tree(unit(_rows(part.column("embedding").combine_chunks())), path, part.column("weight").to_numpy())
+                    tree = Tree(unit(_matrix(part.column("embedding").combine_chunks())), path, part.column("weight").to_numpy())
                     trees.append(tree)
                     keys.append(part.column("key").to_numpy()[tree.order])
             links = traverse(trees[0], trees[1] if len(trees) > 1 else None, threshold)
@@ -361,7 +437,7 @@ def _solved(sides: DataFrame, threshold: float) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(key[at]), pa.array(links.count[at]), pa.array(key[links.root[at]])],
                                              names=["key", "n", "root"])
 
-    dealt = sides.repartition("task").sortWithinPartitions("task")
+    dealt = sides.repartition(partitions, "task").sortWithinPartitions("task")
     return stage(dealt.mapInArrow(run, "key long, n long, root long"), "vector-links")
 
 
@@ -424,7 +500,8 @@ def vector_links(vectors: DataFrame, threshold: float = THRESHOLD, node_bytes: i
         "IF(node_a = node_b, array(struct(0 AS side, node_a AS node)), "
         "array(struct(0 AS side, node_a AS node), struct(1 AS side, node_b AS node)))")).alias("s")).select("task", "s.*")
     members = _members(nodes, threshold)
-    found = _solved(sides.join(members, "node").select("task", "side", "row", "key", "weight", "path", "embedding"), threshold)
+    partitions = max(1, min(2 * tasks.count(), 1 + size[0] ** 2 // PRODUCTS, SOLVERS))
+    found = _solved(sides.join(members, "node").select("task", "side", "row", "key", "weight", "path", "embedding"), threshold, partitions)
 
     # upper nodes all of whose vectors link with each other, or with another node's
     added = spark.createDataFrame([(c, int(n), known[c]["rep"]) for c, n in extra.items() if n], "centre int, n long, rep long")
@@ -450,7 +527,9 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD, node_by
     least = named.groupBy("label").agg(F.min("root").alias("component_id"))
     classes = stage(named.join(least, "label").select("key", "n", "component_id"), "vector-classes")
     known = vectors.select("key", F.col("embedding").alias("_vector")).join(classes, "key")
-    found = rows.join(known, rows["embedding"] == known["_vector"], "left")
+    # sorted by a number first: comparing whole vectors is dear
+    known = known.withColumn("_hash", F.xxhash64("_vector"))
+    found = rows.join(known, (F.xxhash64(rows["embedding"]) == known["_hash"]) & (rows["embedding"] == known["_vector"]), "left")
     component = F.when(F.col("n").isNull(), F.col("vec_id")).otherwise(F.col("component_id"))
     return found.select("vec_id", F.coalesce(F.col("n") - 1, F.lit(0).cast("long")).alias("n_links"),
                         component.alias("component_id"), F.col("vec_id").eqNullSafe(component).alias("kept"))

@@ -1,10 +1,10 @@
-"""What the tasks of op2 sort and pass on."""
+"""What the tasks of op2 and op11 sort, look at and pass on."""
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
-from donorlens.llm import suffix_dedup
+from donorlens.llm import cover_tree, suffix_dedup
 from tests.llm.test_operators import brute_suffix, documents, plain
 
 
@@ -49,3 +49,27 @@ def test_removed_ranges_leave_their_task_united(spark, monkeypatch):
     got = {(r["doc_id"], tuple(zip(r["starts"], r["ends"]))) for r in suffix_dedup.removed_ranges(texts).collect()}
     assert got == {(2, ((60, 760), (761, 1161))), (3, ((0, 800),))}
     assert plain(suffix_dedup.query(documents(spark, rows)).collect()) == plain(brute_suffix(rows))
+
+
+@pytest.mark.parametrize("two_sides", [False, True])
+def test_wide_nodes_without_structure_are_not_opened_one_by_one(two_sides, monkeypatch):
+    """Nodes of the first level hold several vectors that are far apart: no bound on them prunes."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(3000, 64)) + 0.9
+    x[:300] = x[300:600] + 0.1 * rng.normal(size=(300, 64)) * np.linspace(0, 3, 300)[:, None]
+    x = cover_tree.unit(rng.permutation(x))
+    trees = [cover_tree.Tree(p, cover_tree.build(p, 0.95), np.ones(len(p), np.int64)) for p in np.split(x, 2 if two_sides else 1)]
+    assert all(2 * len(t.starts[0]) < len(t.x) for t in trees)
+    looked = []
+    einsum = np.einsum
+    monkeypatch.setattr(np, "einsum", lambda how, a, b: looked.append(len(a)) or einsum(how, a, b))
+    links = cover_tree.traverse(trees[0], trees[1] if two_sides else None, 0.95)
+    near = trees[0].x @ trees[-1].x.T >= 0.95
+    want = np.r_[near.sum(axis=1), near.sum(axis=0)] if two_sides else near.sum(axis=1)
+    assert (links.count == want).all() and sum(looked) < 20 * len(x)
+
+
+def test_near_duplicates_of_signed_zeros_and_other_lengths(spark):
+    rows = [(1, [0.0, 1.0, 2.0]), (2, [-0.0, 1.0, 2.0]), (3, [1.0, 2.0]), (4, [0.0, 2.0, 4.0]), (5, [-1.0, 2.0, 0.0]), (None, [1.0, 2.0])]
+    got = cover_tree.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert plain(got) == plain([(1, 2, 1, True), (2, 2, 1, False), (3, 1, 3, True), (4, 2, 1, False), (5, 0, 5, True), (None, 1, 3, False)])
