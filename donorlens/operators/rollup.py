@@ -37,7 +37,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from donorlens.operators.basic import dealt_out
 from donorlens.operators.segments import DEFAULT_MEASURES, DEFAULT_SEGMENTS, Segment, StateMeasure, states_of
 
 ATTRIBUTED = "_attributed"
@@ -76,7 +75,7 @@ def state_aggregates(rows: DataFrame, segments, measures) -> list[Column]:
 def pre_aggregate(facts: DataFrame, by: list[str], *, segments: list[Segment] = DEFAULT_SEGMENTS,
                   measures: list = DEFAULT_MEASURES) -> DataFrame:
     """One row per value of ``by`` with the states of its contributions (combined map-side)."""
-    return dealt_out(facts, by).groupBy(*by).agg(*state_aggregates(facts, segments, measures))
+    return facts.groupBy(*by).agg(*state_aggregates(facts, segments, measures))
 
 
 def contributor_rollup(facts: DataFrame, keys: list[str], *, mode: str = "spec",
@@ -164,7 +163,8 @@ def segment_report(facts: DataFrame, keys: list[str], *, mode: str = "spec",
 
 
 def grouping_report(facts: DataFrame, sets: dict[str, list[str]], *,
-                    segments: list[Segment] = DEFAULT_SEGMENTS, measures: list = DEFAULT_MEASURES) -> DataFrame:
+                    segments: list[Segment] = DEFAULT_SEGMENTS, measures: list = DEFAULT_MEASURES,
+                    partitions: int | None = None) -> DataFrame:
     """Several report groupings of one fact pass: (grouping, all key columns, statistics).
 
     ``sets`` maps a label to its key columns, ``cycle`` among them. A row's ``grouping`` is the label;
@@ -175,6 +175,10 @@ def grouping_report(facts: DataFrame, sets: dict[str, list[str]], *,
     these contributor-level rows, so a contributor with several values of a finer key is one row of the
     coarser set and counts once there. An empty text is a value: sets are told apart by
     ``grouping_id`` or their label, never by NULL.
+
+    ``partitions`` of pre-aggregated facts: level-1 rows are dealt to so many tasks by contributor, where
+    they meet for the windows and are merged per set without another shuffle. The number must follow the rows, since
+    a task holds a table of its rows in all sets.
     """
     if bad := [label for label, keys in sets.items() if "cycle" not in keys]:
         raise ValueError(f"every report is per cycle: {bad}")
@@ -184,11 +188,13 @@ def grouping_report(facts: DataFrame, sets: dict[str, list[str]], *,
     if folded:  # combined before: its rows are grouped in tasks of the session's advisory size
         facts = facts.repartition(*group)
     level1 = facts.groupBy(*group).agg(*state_aggregates(facts, segments, measures))
+    if folded and partitions:
+        level1 = level1.repartition(partitions, "contributor_id")
     level1 = level1.withColumns({
         "first_cycle": F.min("cycle").over(Window.partitionBy("contributor_id")),
         "cycle_total": F.sum("_t").over(Window.partitionBy("contributor_id", "cycle"))})
     if folded:
-        rows = _merged_by_place(level1, sets, group, segments, measures)
+        rows = _merged_by_place(level1, sets, group, segments, measures, meet=not partitions)
         return aggregate_segments(rows, ["grouping", *keys], segments=segments, measures=measures)
     merged = level1.groupingSets([[*s, "contributor_id"] for s in sets.values()], *group).agg(
         F.grouping_id().alias("_set"), *state_aggregates(level1, segments, measures),
@@ -205,11 +211,12 @@ def grouping_report(facts: DataFrame, sets: dict[str, list[str]], *,
     return aggregate_segments(rows, ["grouping", *keys], segments=segments, measures=measures)
 
 
-def _merged_by_place(level1: DataFrame, sets: dict[str, list[str]], group: list[str], segments, measures) -> DataFrame:
+def _merged_by_place(level1: DataFrame, sets: dict[str, list[str]], group: list[str], segments, measures,
+                     meet: bool) -> DataFrame:
     """Level-1 rows merged per grouping set (``grouping``), its keys and contributor.
 
     A row is taken to the sets that hold it, and these rows are shuffled to their groups before they
-    are merged: merging beside the windows would need a table of all sets over the windows' narrow input.
+    are merged (``meet``), unless the tasks of the windows are small enough: merging beside the windows would need a table of all sets over the windows' narrow input.
     """
     places = []
     for name, own in sets.items():
@@ -223,7 +230,9 @@ def _merged_by_place(level1: DataFrame, sets: dict[str, list[str]], group: list[
         places.append(F.when(inside, place))
     rows = level1.select(*[c for c in level1.columns if c not in group[:-1]],
                          F.explode(F.array_compact(F.array(*places))).alias("_place"))
-    rows = rows.select("_place.*", *[c for c in rows.columns if c != "_place"]).repartition("grouping", *group)
+    rows = rows.select("_place.*", *[c for c in rows.columns if c != "_place"])
+    if meet:
+        rows = rows.repartition("grouping", *group)
     return rows.groupBy("grouping", *group).agg(
         *state_aggregates(rows, segments, measures),
         F.max("first_cycle").alias("first_cycle"), F.max("cycle_total").alias("cycle_total"))

@@ -89,3 +89,36 @@ def test_load_rejects_writes_the_contributions_once(spark, sf_small, monkeypatch
     report = {(r["table_name"], r["metric"]): r["value"] for r in queries.QUERIES["load_rejects"](spark, sf_small).collect()}
     assert sorted(written) == ["candidates", "committees", "industry_codes"]
     assert report["individual_contributions", "record_rejects"] > 0
+
+
+def _exchanges(df, column):
+    return [line for line in plan_text(df, "simple").splitlines() if "Exchange hashpartitioning" in line and column in line]
+
+
+def test_a_fold_by_all_columns_shuffles_its_rows_once(spark):
+    df = shared.fold(_tables(spark)).contributions
+    assert len(_exchanges(df, "contributor_id")) == 1
+    got = {r["contributor_id"]: (r["_t"], r["_r"]) for r in df.collect()}
+    assert got == {"U0": (30, 6), **{f"U{i}": (i, 1) for i in range(1, 21)}}
+
+
+def test_all_reports_shuffle_no_rows_of_all_groupings(spark, monkeypatch):
+    seen = {}
+    stored = shared._stored
+
+    def store(df, name):
+        seen[name] = df
+        key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+        old = spark.conf.get(key)
+        out = stored(df, name)
+        assert spark.conf.get(key) == old
+        return out
+
+    monkeypatch.setattr(shared, "_stored", store)
+    monkeypatch.setattr(shared, "GROUP_ROWS", 8, raising=False)
+    tables = _tables(spark)
+    got = shared.all_reports(shared.store(shared.fold(tables)))
+    assert len(_exchanges(seen["all-reports"], "contributor_id")) == 2  # to their groups, to their contributors
+    assert any("contributor_id" in x and ", 3)" in x for x in _exchanges(seen["all-reports"], "REPARTITION_BY_NUM"))
+    for name, report in reports.generate_reports(tables):
+        assert sorted(map(tuple, got[name].collect()), key=str) == sorted(map(tuple, report.collect()), key=str)
